@@ -20,7 +20,7 @@ def term_counts(df: DataFrame, row_id: str, tokens: Column) -> DataFrame:
     The words of a row are sorted; a term's count is the distance between the places
     where the sorted words change. No shuffle is needed for it.
     """
-    ordered = df.select(row_id, F.sort_array(tokens).alias("_w")).where(F.size("_w") > 0)
+    ordered = df.where(F.size(tokens) > 0).select(row_id, F.sort_array(tokens).alias("_w"))
     starts = ordered.withColumn("_s", F.filter(
         F.sequence(F.lit(0), F.size("_w") - 1),
         lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1))))

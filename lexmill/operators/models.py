@@ -43,11 +43,11 @@ def fit_text_vectors(train: DataFrame, tokens: str = "tokens", features: str = "
 # --- linear models --------------------------------------------------------------------------------
 
 def logistic(n_rows: int, penalty: str = "l2", C: float = 1.0, max_iter: int = 100,
-             features: str = "features", label: str = "label") -> LogisticRegression:
+             features: str = "features", label: str = "label", tol: float = 1e-4) -> LogisticRegression:
     """Logistic regression with an inverse penalty strength ``C`` on the sum of losses."""
     if penalty not in ("l1", "l2"):
         raise ValueError(f"unknown penalty: {penalty}")
-    return LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter,
+    return LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, tol=tol,
                               regParam=1.0 / (C * max(n_rows, 1)), standardization=False,
                               elasticNetParam=1.0 if penalty == "l1" else 0.0)
 

@@ -14,7 +14,7 @@ from lexmill.operators.metrics import classification_report
 from lexmill.operators.models import fit_text_vectors, logistic
 from lexmill.operators.relational import attach_labels, dedup_by_id, dedup_by_text, sync_labels
 from lexmill.operators.splits import split_stratified_exact
-from lexmill.session import stage
+from lexmill.session import compact, stage
 from lexmill.sources.schemas import require_columns
 from lexmill.sources.writers import feature_table, label_table
 
@@ -58,7 +58,7 @@ def train_and_report(x: DataFrame, y: DataFrame, max_features: int = 1 << 16, **
     rows = stage(rows.select("id", "split", "label", "tokens"), "rows")
     train = rows.where(F.col("split") == "train")
     vectors = fit_text_vectors(train, max_features=max_features)
-    ready = vectors.transform(train).select("id", "label", "features")
+    ready = compact(stage(vectors.transform(train).select("id", "label", "features"), "vectors"))
     model = logistic(ready.count(), **params).fit(ready)
     scored = model.transform(vectors.transform(rows.where(F.col("split") == "test")))
     return vectors, model, classification_report(

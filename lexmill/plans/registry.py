@@ -13,7 +13,7 @@ from lexmill.functions.stopwords import ENGLISH
 from lexmill.operators import (corpus, features, filters, metrics, models, monitor, neighbours, relational,
                                scoring, splits, words)
 from lexmill.plans.flows import top_terms_by_class
-from lexmill.session import new_path, stage
+from lexmill.session import compact, new_path, stage
 from lexmill.sources.readers import parse_word_vectors, read_table
 from lexmill.sources.writers import feature_table, label_table
 from lexmill.streaming import streams
@@ -462,8 +462,8 @@ def tfidf(spark, folder):
 @query
 def tfidf_ngrams(spark, folder):
     rows = term_rows(spark, folder)
-    grams = text.ngrams(text.drop_words(F.col("tokens"), ENGLISH), 1, 2)
-    rows = stage(rows.select("id", "split", grams.alias("tokens")), "grams")
+    kept = rows.withColumn("tokens", text.drop_words(F.col("tokens"), ENGLISH))
+    rows = stage(kept.withColumn("tokens", text.ngrams(F.col("tokens"), 1, 2)), "grams")
     idf = train_idf(rows, max_features=1000)
     return features.tfidf(rows, "id", F.col("tokens"), idf).withColumn("weight", r6("weight"))
 
@@ -566,7 +566,8 @@ def training_rows(spark, folder, folds: int = 3) -> DataFrame:
 def vectorised(spark, folder, max_features: int = 4096):
     rows = training_rows(spark, folder)
     vectors = models.fit_text_vectors(rows.where(F.col("split") == "train"), max_features=max_features)
-    return vectors, stage(vectors.transform(rows).select("id", "label", "split", "fold", "features"), "vectors")
+    return vectors, compact(stage(vectors.transform(rows).select("id", "label", "split", "fold", "features"),
+                                  "vectors"))
 
 
 def train_part(rows: DataFrame) -> DataFrame:

@@ -74,3 +74,8 @@ def spread(df: DataFrame) -> DataFrame:
     if plan_bytes(df) > SMALL_INPUT_BYTES:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def compact(df: DataFrame, partition_bytes: int = 8 * 1024 * 1024) -> DataFrame:
+    """Fewer partitions for a small training table: an iterative fit pays per task and round."""
+    return df.coalesce(max(1, plan_bytes(df) // partition_bytes))
