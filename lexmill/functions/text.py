@@ -37,8 +37,11 @@ def words(c: Column) -> Column:
 
 
 def clean_words(c: Column) -> Column:
-    """Words of text that is already single-spaced and trimmed."""
-    return F.when(is_present(c), F.split(c, " ")).otherwise(F.array().cast("array<string>"))
+    """Words of text that is already single-spaced and trimmed.
+
+    Names ``c`` once: inside a generator Spark evaluates every mention again.
+    """
+    return F.array_remove(F.split(F.coalesce(c, F.lit("")), " "), "")
 
 
 def word_count(c: Column, null_as_word: bool = False) -> Column:
@@ -73,11 +76,16 @@ def squeeze_runs(c: Column) -> Column:
 
 
 def clean_extended(c: Column) -> Column:
-    """``clean_base``, then digits and emoji out and letter runs squeezed.
+    """``clean_base``, then digits and emoji out and letter runs squeezed."""
+    return extend_cleaning(clean_base(c))
+
+
+def extend_cleaning(c: Column) -> Column:
+    """The further steps on text that ``clean_base`` made.
 
     U+2139 is the one emoji that is a letter and so survives ``clean_base``.
     """
-    c = F.regexp_replace(clean_base(c), "[\\p{Nd}ℹ]+", "")
+    c = F.regexp_replace(c, "[\\p{Nd}ℹ]+", "")
     return F.trim(F.regexp_replace(squeeze_runs(c), " +", " "))
 
 

@@ -74,16 +74,24 @@ def label_shares(df: DataFrame, label: str) -> DataFrame:
     return counts.select(label, "n", (F.lit(100.0) * F.col("n") / n).alias("percent"))
 
 
+def explode_words(df: DataFrame, tokens: Column, *keep: str, name: str = "word") -> DataFrame:
+    """One row per word.
+
+    The outer form and a filter behind it, because for the plain form Spark adds a filter
+    on the size of the array below, which makes it tokenise every text twice.
+    """
+    return df.select(*keep, F.explode_outer(tokens).alias(name)).where(F.col(name).isNotNull())
+
+
 def vocabulary(df: DataFrame, tokens: Column) -> DataFrame:
     """(word, n): word frequencies, combined per task before the shuffle."""
-    return df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return explode_words(df, tokens).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def vocabulary_size(df: DataFrame, tokens: Column, *by: str, approximate: bool = False) -> DataFrame:
     """Number of distinct words, overall or per group."""
     count = F.approx_count_distinct if approximate else F.count_distinct
-    return (df.select(*by, F.explode(tokens).alias("word")).groupBy(*by)
-            .agg(count(F.col("word")).alias("vocab_size")))
+    return explode_words(df, tokens, *by).groupBy(*by).agg(count(F.col("word")).alias("vocab_size"))
 
 
 def top_words(counts: DataFrame, k: int = 10) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.arrays import pad, zeros
+from lexmill.operators.corpus import explode_words
 from lexmill.operators.ordered import global_rank
 from lexmill.operators.words import explode_tokens
 
@@ -20,10 +21,10 @@ def term_counts(df: DataFrame, row_id: str, tokens: Column) -> DataFrame:
     The words of a row are sorted; a term's count is the distance between the places
     where the sorted words change. No shuffle is needed for it.
     """
-    ordered = df.where(F.size(tokens) > 0).select(row_id, F.sort_array(tokens).alias("_w"))
+    ordered = df.select(row_id, F.sort_array(tokens).alias("_w"))
+    places = F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - 1))
     starts = ordered.withColumn("_s", F.filter(
-        F.sequence(F.lit(0), F.size("_w") - 1),
-        lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1))))
+        places, lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1))))
     pairs = F.transform("_s", lambda at, i: F.struct(
         F.get("_w", at).alias("term"),
         (F.coalesce(F.get("_s", i + 1), F.size("_w")) - at).cast("long").alias("tf")))
@@ -32,7 +33,7 @@ def term_counts(df: DataFrame, row_id: str, tokens: Column) -> DataFrame:
 
 def top_terms(df: DataFrame, tokens: Column, max_features: int) -> DataFrame:
     """The ``max_features`` terms with the greatest corpus count, ties by the term."""
-    return (df.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    return (explode_words(df, tokens, name="term").groupBy("term").agg(F.count("*").alias("n"))
             .orderBy(F.desc("n"), "term").limit(max_features).select("term"))
 
 
@@ -42,7 +43,7 @@ def fit_idf(train: DataFrame, tokens: Column, max_features: int | None = None) -
     Repeats are removed inside each row, so only partial counts are shuffled.
     """
     n = train.agg(F.count("*").alias("n")).scalar()
-    counts = (train.select(F.explode(F.array_distinct(tokens)).alias("term"))
+    counts = (explode_words(train, F.array_distinct(tokens), name="term")
               .groupBy("term").agg(F.count("*").alias("df")))
     if max_features is not None:
         counts = counts.join(top_terms(train, tokens, max_features), "term", "left_semi")

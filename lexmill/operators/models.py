@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.hashing import id_number
-from lexmill.session import stage
+from lexmill.session import new_path, stage
 
 # What a model must reach to be promoted, by stage and measure.
 PROMOTION_RULES = (("validation", "accuracy", ">=", 0.85), ("test", "f1", ">=", 0.80),
@@ -166,15 +166,16 @@ def log_loss(label: str = "label", score: str = "score") -> Column:
 
 
 def partial_fit(weights: DataFrame, features: DataFrame, labels: DataFrame, row_id: str = "id",
-                label: str = "label", rate: float = 2.0, penalty: float = 1e-4) -> DataFrame:
-    """Weights after one gradient step on a batch of (id, term, weight) and (id, label).
+                label: str = "label", rate: float = 2.0, penalty: float = 1e-4) -> tuple[DataFrame, DataFrame]:
+    """(weights, scored): one gradient step on a batch of (id, term, weight) and (id, label).
 
-    Model and gradient stay tables: rows are combined per id, then per term, so neither
-    the vocabulary nor the batch has to fit on one machine.
+    ``scored`` holds (id, label, score) before the step. Model and gradient stay tables:
+    rows are combined per id, then per term, so neither the vocabulary nor the batch has
+    to fit on one machine.
     """
-    errors = (linear_scores(features, weights, row_id).join(labels, row_id)
-              .select(row_id, (F.col("score") - F.col(label)).alias("_e")))
-    errors = stage(errors, "errors")
+    scored = stage(linear_scores(features, weights, row_id).join(labels, row_id)
+                   .select(row_id, label, "score"), "scored")
+    errors = scored.select(row_id, (F.col("score") - F.col(label)).alias("_e"))
     n = errors.agg(F.count("*").alias("n")).scalar()
     slope = (features.join(errors, row_id).groupBy("term")
              .agg(F.sum(F.col("_e") * F.col("weight")).alias("_g")))
@@ -182,7 +183,8 @@ def partial_fit(weights: DataFrame, features: DataFrame, labels: DataFrame, row_
     kept = weights.select("term", F.when(F.col("term") == "", F.col("w"))
                           .otherwise(F.col("w") * (1 - rate * penalty)).alias("w"))
     moved = slope.select("term", (-rate * F.col("_g") / n).alias("w"))
-    return kept.unionByName(moved).groupBy("term").agg(F.sum("w").alias("w")).where(F.col("w").isNotNull())
+    new = kept.unionByName(moved).groupBy("term").agg(F.sum("w").alias("w")).where(F.col("w").isNotNull())
+    return new, scored
 
 
 def sgd_logistic(features: DataFrame, labels: DataFrame, row_id: str = "id", label: str = "label",
@@ -194,26 +196,19 @@ def sgd_logistic(features: DataFrame, labels: DataFrame, row_id: str = "id", lab
     """
     spark = features.sparkSession
     batch = F.pmod(id_number(F.col(row_id), f"{seed}:batch"), F.lit(batches)).cast("int")
-    path = _write_batches(features.withColumn("batch", batch))
+    path = new_path(spark, "batches")
+    features.withColumn("batch", batch).write.partitionBy("batch").parquet(path)
     labels = stage(labels.select(row_id, label), "labels")
     weights, losses = no_weights(spark), None
     for k in range(batches):
         part = spark.read.parquet(path).where(F.col("batch") == k).drop("batch")
-        loss = linear_scores(part, weights, row_id).join(labels, row_id).agg(log_loss(label).alias("loss"))
-        loss = stage(loss.select(F.lit(k).alias("step"), "loss"), "loss")
+        new, scored = partial_fit(weights, part, labels, row_id, label, rate)
+        loss = scored.agg(log_loss(label).alias("loss")).select(F.lit(k).alias("step"), "loss")
         losses = loss if losses is None else losses.unionByName(loss)
-        weights = stage(partial_fit(weights, part, labels, row_id, label, rate), "weights")
+        weights = stage(new, "weights")
     return weights, losses
 
 
-def _write_batches(df: DataFrame) -> str:
-    from lexmill.session import new_path
-
-    path = new_path(df.sparkSession, "batches")
-    df.write.partitionBy("batch").parquet(path)
-    return path
-
-
 # --- run records and decisions ---------------------------------------------------------------------
 
 def run_records(metrics: DataFrame, run_id: str, model: str, split: str, step: int = 0) -> DataFrame:

@@ -332,9 +332,9 @@ def vocab_size(spark, folder):
 
 @query
 def vocab_size_by_stage(spark, folder):
-    docs = posts(spark, folder)
-    stages = {"raw": text.words(F.col("feature")), "base": text.clean_words(text.clean_base(F.col("feature"))),
-              "extended": text.clean_words(text.clean_extended(F.col("feature")))}
+    docs = posts(spark, folder).withColumn("base", text.clean_base(F.col("feature")))
+    stages = {"raw": text.words(F.col("feature")), "base": tokens("base"),
+              "extended": text.clean_words(text.extend_cleaning(F.col("base")))}
     # One pass over the texts: every stage's distinct words side by side.
     pairs = F.array(*[F.struct(F.lit(name).alias("stage"), F.array_distinct(t).alias("tokens"))
                       for name, t in stages.items()])
@@ -547,7 +547,7 @@ def subword_encode(spark, folder):
 @query
 def top_terms_per_class(spark, folder):
     """Documents and labels through cleaning, synchronising, splitting and TF-IDF."""
-    x = stage(filters.keep_valid(cleaned(spark, folder)), "clean")
+    x = filters.keep_valid(stage(cleaned(spark, folder), "clean"))
     y = relational.sync_labels(x, label_rows(spark, folder))
     marked = splits.split_by_fraction(x.join(y.select("id"), "id", "left_semi"), "id", {"test": 0.1, "val": 0.15})
     return top_terms_by_class(marked, y)

@@ -86,7 +86,7 @@ def fit_sink(model_dir: str, featurize: Callable[[DataFrame], DataFrame], label:
         old = os.path.join(model_dir, f"version={batch_id - 1}")
         weights = spark.read.parquet(old) if batch_id > 0 else no_weights(spark)
         labels = batch.select(row_id, label.cast("int").alias("label"))
-        new = partial_fit(weights, featurize(batch), labels, row_id, rate=rate)
+        new, _ = partial_fit(weights, featurize(batch), labels, row_id, rate=rate)
         new.write.mode("overwrite").parquet(os.path.join(model_dir, f"version={batch_id}"))
     return sink
 
