@@ -82,7 +82,7 @@ def token_coverage(df: DataFrame, row_id: str, tokens: Column, allowed: DataFram
 def _detached(forms: Column) -> Column:
     """All results of one detachment over an array of forms, in rule order."""
     def each(form: Column) -> Column:
-        options = [F.when(form.endswith(end) & (F.length(form) > len(end)),
+        options = [F.when(form.endswith(end),
                           F.concat(form.substr(F.lit(1), F.length(form) - len(end)), F.lit(new)))
                    for end, new in NOUN_ENDINGS]
         return F.array_compact(F.array(*options))

@@ -202,8 +202,7 @@ O["min_word_length"] = f"with {TOKENS} {rebuilt(f'tok.word not in {STOP} and len
 
 def detached(c: str) -> str:
     options = ", ".join(
-        f"case when {c} like '%{end}' and length({c}) > {len(end)} "
-        f"then left({c}, length({c}) - {len(end)}) || '{new}' end" for end, new in NOUN_ENDINGS)
+        f"case when {c} like '%{end}' then left({c}, length({c}) - {len(end)}) || '{new}' end" for end, new in NOUN_ENDINGS)
     return f"[{options}]"
 
 
