@@ -1,7 +1,8 @@
 """Word-level operators.
 
 What depends on a word alone (lemma, stem, split of glued words) is computed once
-per distinct word and joined back to the texts. Post ids must be unique.
+per distinct word and joined back to the texts. Post ids must be unique, and a
+vocabulary holds each word once, as ``corpus.vocabulary`` makes it.
 """
 
 from __future__ import annotations
@@ -28,9 +29,8 @@ def rebuild_text(tokens: DataFrame, row_id: str, word: str = "word", name: str =
 
     A group is one text, so it is as long as one input row at most.
     """
-    item = F.when(F.col(word).isNotNull(), F.struct("pos", F.col(word).alias("w")))
-    joined = F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(item)), lambda x: x["w"]))
-    return tokens.groupBy(row_id).agg(joined.alias(name))
+    joined = F.expr(f"listagg(`{word}`, ' ') within group (order by pos)")
+    return tokens.groupBy(row_id).agg(F.coalesce(joined, F.lit("")).alias(name))
 
 
 def translate_words(df: DataFrame, row_id: str, tokens: Column, table: DataFrame,
@@ -96,16 +96,14 @@ def lemma_table(vocab: DataFrame, lexicon: DataFrame, depth: int = 3) -> DataFra
     no earlier one is in the lexicon. Among candidates of a step the shortest wins,
     the earliest rule on ties.
     """
-    steps = F.array(F.array(F.col("word")))
-    forms = vocab.select("word").distinct()
-    forms = forms.withColumn("f1", _detached(F.array("word")))
+    forms = vocab.select("word", _detached(F.array("word")).alias("f1"))
     for level in range(2, depth + 1):
         forms = forms.withColumn(f"f{level}", _detached(F.col(f"f{level - 1}")))
     first = F.concat(F.array("word"), F.col("f1"))
     steps = F.array(first, *[F.col(f"f{level}") for level in range(2, depth + 1)])
     options = (forms.select("word", F.posexplode(steps).alias("step", "forms"))
                .select("word", "step", F.posexplode("forms").alias("rule", "form")))
-    known = options.join(lexicon.select(F.col("word").alias("form")).distinct(), "form", "left_semi")
+    known = options.join(lexicon.select(F.col("word").alias("form")), "form", "left_semi")
     return known.groupBy("word").agg(
         F.min_by("form", F.struct("step", F.length("form"), "rule")).alias("new_word"))
 
@@ -125,11 +123,11 @@ def segment_table(unknown: DataFrame, allowed: DataFrame) -> DataFrame:
     Only split points that leave both halves no longer than the longest allowed word
     can succeed, so a long junk word yields few candidates or none.
     """
-    allowed = allowed.select("word").distinct()
+    allowed = allowed.select("word")
     longest = allowed.agg(F.max(F.length("word")).alias("n")).scalar()
     size = F.length("word")
     first, last = F.greatest(F.lit(1), size - longest), F.least(size - 1, longest)
-    points = (unknown.select("word").distinct()
+    points = (unknown.select("word")
               .withColumn("_first", first).withColumn("_last", last)
               .where(F.col("_first") <= F.col("_last"))
               .select("word", F.explode(F.sequence("_first", "_last")).alias("i")))
@@ -146,9 +144,9 @@ def repair_table(vocab: DataFrame, allowed: DataFrame, max_word_length: int | No
 
     With ``max_word_length`` a longer word is never kept as it is, only split.
     """
-    allowed = allowed.select("word").distinct()
+    allowed = allowed.select("word")
     keep = allowed if max_word_length is None else allowed.where(F.length("word") <= max_word_length)
-    words = vocab.select("word").distinct()
+    words = vocab.select("word")
     kept = words.join(keep, "word", "left_semi").select("word", F.col("word").alias("new_word"))
     return kept.unionByName(segment_table(words.join(keep, "word", "left_anti"), allowed))
 
@@ -196,7 +194,7 @@ def _ending(w: Column, suffixes) -> tuple[Column, Column]:
 
 def stem_table(vocab: DataFrame) -> DataFrame:
     """(word, new_word): the Porter stem of each distinct word, in native expressions."""
-    df = vocab.select("word").distinct().withColumn("w", F.lower("word"))
+    df = vocab.select("word", F.lower("word").alias("w"))
 
     def step(name: str, column: Column) -> None:
         nonlocal df
