@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def nearest_neighbours(queries: DataFrame, table: DataFrame, row_id: str, vec: str,
-                       min_similarity: float = -1.0, block_rows: int = 2048) -> DataFrame:
+                       min_similarity: float = -1.0, block_rows: int = 4096) -> DataFrame:
     """(id, neighbour, similarity): the closest other row of ``table`` for each query row.
 
     Both sides are cut into blocks by the hash of the id. A task multiplies one query

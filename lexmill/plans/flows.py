@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexmill.functions.labels import recode_polarity
-from lexmill.functions.text import clean_base, clean_words, feature_terms
+from lexmill.functions.text import clean_base, clean_extended, clean_words, feature_terms
 from lexmill.operators.features import fit_idf, tfidf
 from lexmill.operators.filters import keep_valid
 from lexmill.operators.metrics import classification_report
 from lexmill.operators.models import fit_text_vectors, logistic
 from lexmill.operators.relational import attach_labels, dedup_by_id, dedup_by_text, sync_labels
 from lexmill.operators.splits import split_stratified_exact
+from lexmill.operators.words import filter_frequent, keep_vocabulary, lemmatize, prepare_tokens, repair_words
 from lexmill.session import compact, stage
 from lexmill.sources.schemas import require_columns
 from lexmill.sources.writers import feature_table, label_table
@@ -34,13 +37,48 @@ def split_posts(posts: DataFrame, order: Column | None = None, test_size: str =
     return feature_table(marked, "post_id", "text"), label_table(marked, "post_id", "polarity")
 
 
-def clean_and_sync(x: DataFrame, y: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Base cleaning of all splits, then only valid rows and their labels.
+def normalise_words(clean: DataFrame, stop: Sequence[str] = (), min_length: int | None = None,
+                    lexicon: DataFrame | None = None, allowed: DataFrame | None = None) -> DataFrame:
+    """Word steps on staged clean text, in their fixed order.
+
+    Stop words and short words go before lemmatising, the allowed vocabulary comes after it.
+    """
+    tokens = prepare_tokens(F.col("feature"), list(stop), min_length)
+    if lexicon is not None:
+        words = lemmatize(clean, "id", tokens, lexicon)
+    else:
+        words = clean.select("id", F.concat_ws(" ", tokens).alias("feature"))
+    if allowed is not None:
+        words = keep_vocabulary(stage(words, "words"), "id", clean_words(F.col("feature")), allowed)
+    return words
+
+
+def preprocess_posts(posts: DataFrame, stop: Sequence[str], min_length: int = 3,
+                     lexicon: DataFrame | None = None, allowed: DataFrame | None = None) -> DataFrame:
+    """(id, feature): extended cleaning, then the word steps."""
+    clean = stage(posts.select("id", clean_extended(F.col("feature")).alias("feature")), "clean")
+    return normalise_words(clean, stop, min_length, lexicon, allowed)
+
+
+def repair_and_filter(posts: DataFrame, allowed: DataFrame, min_count: int = 5,
+                      max_word_length: int = 20) -> DataFrame:
+    """(id, feature): known words kept, glued words split, then words rare in the result dropped."""
+    repaired = stage(repair_words(posts, "id", clean_words(F.col("feature")), allowed, max_word_length), "repaired")
+    return filter_frequent(repaired, "id", clean_words(F.col("feature")), min_count)
+
+
+def clean_and_sync(x: DataFrame, y: DataFrame, stop: Sequence[str] = (), lexicon: DataFrame | None = None
+                   ) -> tuple[DataFrame, DataFrame]:
+    """Base cleaning and word steps on all splits, then only valid rows and their labels.
 
     The cleaned table is written before it is filtered: a filter on a cleaned column
     would be pushed below the cleaning and clean every text twice.
     """
-    valid = keep_valid(stage(x.withColumn("feature", clean_base(F.col("feature"))), "clean"))
+    clean = stage(x.withColumn("feature", clean_base(F.col("feature"))), "clean")
+    if stop or lexicon is not None:
+        words = normalise_words(clean, stop, lexicon=lexicon)
+        clean = stage(clean.drop("feature").join(words, "id"), "words")
+    valid = keep_valid(clean)
     return valid, sync_labels(valid, y)
 
 

@@ -206,9 +206,7 @@ def detached(c: str) -> str:
     return f"[{options}]"
 
 
-O["lemmatize"] = f"""with {TOKENS}, lexicon as (select word from counts where n >= 5),
-vocab as (select word from counts where word not in {STOP}),
-f1 as (select word, unnest({detached('word')}) as form, generate_subscripts({detached('word')}, 1) as rule from vocab),
+LEMMAS = f"""f1 as (select word, unnest({detached('word')}) as form, generate_subscripts({detached('word')}, 1) as rule from vocab),
 f2 as (select word, unnest({detached('form')}) as form, rule * 100 + generate_subscripts({detached('form')}, 1) as rule
        from f1 where form is not null),
 f3 as (select word, unnest({detached('form')}) as form, rule * 100 + generate_subscripts({detached('form')}, 1) as rule
@@ -217,8 +215,19 @@ options as (select word, word as form, 0 as step, 0 as rule from vocab
     union all select word, form, 0, rule from f1 union all select word, form, 1, rule from f2
     union all select word, form, 2, rule from f3),
 lemmas as (select word, form from options where form in (select word from lexicon)
-    qualify row_number() over (partition by word order by step, length(form), rule) = 1)
+    qualify row_number() over (partition by word order by step, length(form), rule) = 1)"""
+LEXICON = "lexicon as (select word from counts where n >= 5)"
+O["lemmatize"] = f"""with {TOKENS}, {LEXICON},
+vocab as (select word from counts where word not in {STOP}), {LEMMAS}
 {rebuilt(f'tok.word not in {STOP}', 'coalesce(lemmas.form, tok.word)', 'left join lemmas on lemmas.word = tok.word')}"""
+O["preprocess_posts"] = f"""with {TOKENS}, {LEXICON}, {SQUEEZED},
+xtok as materialized (select id, unnest(t) as word, generate_subscripts(t, 1) as pos
+        from (select id, string_split(feature, ' ') as t from extended where feature <> '')),
+vocab as (select distinct word from xtok where word not in {STOP} and length(word) >= 3), {LEMMAS}
+select docs.id, coalesce(string_agg(coalesce(lemmas.form, vocab.word), ' ' order by xtok.pos)
+    filter (vocab.word is not null), '') as feature
+from docs left join xtok on xtok.id = docs.id left join vocab on vocab.word = xtok.word
+left join lemmas on lemmas.word = xtok.word group by docs.id"""
 O["keep_vocabulary"] = f"""with {TOKENS}, allowed as (select distinct unnest(string_split({clean('text')}, ' ')) as word
     from benchmark)
 {rebuilt('a.word is not null', joins='left join allowed a on a.word = tok.word')}"""
@@ -237,6 +246,16 @@ known as (select word from allowed where length(word) <= 20),
 unknown as (select word from counts where word not in (select word from known)), {SEGMENTS},
 repairs as (select word, word as new_word from known union all select word, segments from segments)
 {rebuilt('p.word is not null', 'p.new_word', 'left join repairs p on p.word = tok.word')}"""
+O["repair_and_filter"] = f"""with {TOKENS}, allowed as (select word from vectors),
+known as (select word from allowed where length(word) <= 20),
+unknown as (select word from counts where word not in (select word from known)), {SEGMENTS},
+repairs as (select word, word as new_word from known union all select word, segments from segments),
+rtok as (select id, pos, unnest(string_split(new_word, ' ')) as word,
+        generate_subscripts(string_split(new_word, ' '), 1) as part from tok join repairs using (word)),
+often as (select word from rtok group by word having count(*) >= 5)
+select docs.id, coalesce(string_agg(rtok.word, ' ' order by rtok.pos, rtok.part)
+    filter (often.word is not null), '') as feature
+from docs left join rtok on rtok.id = docs.id left join often on often.word = rtok.word group by docs.id"""
 O["filter_frequent"] = f"""with {TOKENS}
 {rebuilt('c.n >= 5', joins='left join counts c on c.word = tok.word')}"""
 

@@ -12,7 +12,7 @@ from lexmill.functions import arrays, labels, text
 from lexmill.functions.stopwords import ENGLISH
 from lexmill.operators import (corpus, features, filters, metrics, models, monitor, neighbours, relational,
                                scoring, splits, words)
-from lexmill.plans.flows import top_terms_by_class
+from lexmill.plans import flows
 from lexmill.session import compact, new_path, stage
 from lexmill.sources.readers import parse_word_vectors, read_table
 from lexmill.sources.writers import feature_table, label_table
@@ -436,6 +436,19 @@ def filter_frequent(spark, folder):
     return words.filter_frequent(stage(cleaned(spark, folder), "clean"), "id", tokens(), 5)
 
 
+@query
+def preprocess_posts(spark, folder):
+    docs = posts(spark, folder)
+    lexicon = frequent(stage(cleaned(spark, folder), "clean"))
+    return flows.preprocess_posts(docs, ENGLISH, 3, lexicon)
+
+
+@query
+def repair_and_filter(spark, folder):
+    docs = stage(cleaned(spark, folder), "clean")
+    return flows.repair_and_filter(docs, word_vectors(spark, folder, docs), 5, 20)
+
+
 # --- features ----------------------------------------------------------------------------------
 
 def term_rows(spark, folder) -> DataFrame:
@@ -550,7 +563,7 @@ def top_terms_per_class(spark, folder):
     x = filters.keep_valid(stage(cleaned(spark, folder), "clean"))
     y = relational.sync_labels(x, label_rows(spark, folder))
     marked = splits.split_by_fraction(x.join(y.select("id"), "id", "left_semi"), "id", {"test": 0.1, "val": 0.15})
-    return top_terms_by_class(marked, y)
+    return flows.top_terms_by_class(marked, y)
 
 
 # --- training ----------------------------------------------------------------------------------

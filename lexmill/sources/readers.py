@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lexmill.functions.text import SPACE, strip
 from lexmill.session import spread
-from lexmill.sources.schemas import FEATURE, LABEL, NA_STRINGS, RAW_POST
+from lexmill.sources.schemas import EVALUATION, FEATURE, LABEL, NA_STRINGS, RAW_POST
 
 
 def blank_to_null(df: DataFrame, *columns: str) -> DataFrame:
@@ -51,6 +51,13 @@ def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> Da
     return spread(df.select(*columns) if columns else df)
 
 
+def read_evaluation(spark: SparkSession, path: str) -> DataFrame:
+    """An already split evaluation file (tweet, id), where ``id`` is the label, as (feature, label)."""
+    df = (spark.read.schema(EVALUATION).option("quote", '"').option("escape", '"')
+          .option("multiLine", True).csv(path, header=True))
+    return df.select(F.col("tweet").alias("feature"), F.col("id").alias("label"))
+
+
 def parse_word_vectors(lines: DataFrame, dim: int, keep: str = "last") -> DataFrame:
     """(line_no, value) lines ``word f1 .. fD`` to (word, vec); other lines are skipped.
 
