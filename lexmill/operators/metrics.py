@@ -108,10 +108,13 @@ def _totals(points: DataFrame) -> Column:
 
 def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
     """Area under the ROC curve, ties counting half; null when one class is missing."""
-    points = score_totals(df, truth, score)
+    return score_totals(df, truth, score).agg(_roc_auc().alias("roc_auc"))
+
+
+def _roc_auc() -> Column:
     wins = F.sum((F.col("n") - F.col("p")) * ((F.col("cp") - F.col("p")) + F.col("p") / 2))
     pairs = F.sum("p").cast("double") * (F.sum("n") - F.sum("p")).cast("double")
-    return points.agg(F.try_divide(wins, pairs).alias("roc_auc"))
+    return F.try_divide(wins, pairs)
 
 
 def roc_curve(df: DataFrame, truth: str, score: str) -> DataFrame:
@@ -140,10 +143,12 @@ def _end_point(df: DataFrame, **values) -> DataFrame:
 
 def average_precision(df: DataFrame, truth: str, score: str) -> DataFrame:
     """Step sum of precision over the gains in recall."""
-    points = score_totals(df, truth, score)
+    return score_totals(df, truth, score).agg(_average_precision().alias("average_precision"))
+
+
+def _average_precision() -> Column:
     gain = F.sum(F.col("p") * F.col("cp") / F.col("cn"))
-    return points.agg(F.coalesce(F.try_divide(gain, F.sum("p").cast("double")), F.lit(0.0))
-                      .alias("average_precision"))
+    return F.coalesce(F.try_divide(gain, F.sum("p").cast("double")), F.lit(0.0))
 
 
 # --- choice of measures -------------------------------------------------------------------------
@@ -157,26 +162,30 @@ def evaluate(df: DataFrame, truth: str, prediction: str, score: str | None = Non
         raise ValueError(f"unknown metrics: {', '.join(sorted(unknown))}")
     parts = []
     simple = [m for m in metrics if m in ("accuracy", "precision", "recall", "f1")]
+    ranked = [m for m in metrics if m not in simple]
     if simple:
         t, p = F.col(truth) == 1, F.col(prediction) == 1
         precision = ratio(F.count_if(t & p), F.count_if(p))
         recall = ratio(F.count_if(t & p), F.count_if(t))
         values = {"accuracy": F.avg((F.col(truth) == F.col(prediction)).cast("double")),
                   "precision": precision, "recall": recall, "f1": f1(precision, recall)}
-        row = df.agg(*[values[m].alias(m) for m in simple])
-        parts.append(row.select(F.expr(
-            f"stack({len(simple)}, " + ", ".join(f"'{m}', `{m}`" for m in simple) + ")"
-        ).alias("metric", "value")))
-    for name, measure in (("roc_auc", roc_auc), ("average_precision", average_precision)):
-        if name in metrics:
-            parts.append(measure(df, truth, score).select(F.lit(name).alias("metric"),
-                                                          F.col(name).alias("value")))
+        parts.append(_as_rows(df.agg(*[values[m].alias(m) for m in simple]), simple))
+    if ranked:
+        values = {"roc_auc": _roc_auc(), "average_precision": _average_precision()}
+        row = score_totals(df, truth, score).agg(*[values[m].alias(m) for m in ranked])
+        parts.append(_as_rows(row, ranked))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
+def _as_rows(row: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row of measures as (metric, value) rows."""
+    pairs = ", ".join(f"'{m}', `{m}`" for m in names)
+    return row.select(F.expr(f"stack({len(names)}, {pairs})").alias("metric", "value"))
+
+
 def score_with_default(df: DataFrame, score: str, threshold: float = 0.5) -> DataFrame:
     """Add score and prediction with class 0, score 0 for failed rows, and the flag ``failed``."""
     failed = F.col(score).isNull()

@@ -63,8 +63,8 @@ def ks_drift(base: DataFrame, current: DataFrame, value: str, alpha: float = 0.0
     counts = (marked.where(F.col("v").isNotNull()).groupBy("v")
               .agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     points = running_totals(counts, [F.col("v")], {"ca": F.col("a"), "cb": F.col("b")})
-    # The greatest running totals are the sample sizes; the gap needs them per row.
-    sizes = counts.agg(F.struct(F.sum("a").alias("n"), F.sum("b").alias("m")).alias("s")).scalar()
+    # The sizes come from the counted values, so neither sample is scanned again.
+    sizes = points.agg(F.struct(F.sum("a").alias("n"), F.sum("b").alias("m")).alias("s")).scalar()
     gap = F.abs(F.try_divide(F.col("ca"), F.col("n")) - F.try_divide(F.col("cb"), F.col("m")))
     stat = (points.select("ca", "cb", sizes["n"].cast("double").alias("n"), sizes["m"].cast("double").alias("m"))
             .agg(F.max(gap).alias("statistic"), F.max("n").cast("long").alias("n"),

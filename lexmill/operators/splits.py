@@ -132,7 +132,7 @@ def split_stratified_exact(df: DataFrame, row_id: str, label: str, test_size: st
 def split_tail(df: DataFrame, row_id: str, val_share: float = 0.2) -> DataFrame:
     """The last ``val_share`` of the rows, in id order, is the validation set."""
     ids = global_rank(df.select(F.col(row_id).alias("_id")), [F.col("_id")], "_rank")
-    n = df.agg(F.count("*").alias("n")).scalar()
+    n = ids.agg(F.count("*").alias("n")).scalar()
     cut = stage(ids.where(F.col("_rank") == F.floor(n * F.lit(1 - val_share)).cast("long"))
                 .agg(F.max("_id").alias("cut")), "cut")
     first_part = F.col(row_id) <= cut.scalar()
