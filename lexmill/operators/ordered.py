@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexmill.session import stage
+from lexmill.session import plan_bytes, stage
+
+# A small input needs fewer ranges than the session has shuffle partitions.
+RANGE_BYTES = 1 << 20
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column],
@@ -20,7 +23,9 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Co
     The ranges are staged because their bounds come from a sample and must be the
     same for both uses.
     """
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if slices is None:
+        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slices = max(1, min(most, plan_bytes(df) // RANGE_BYTES))
     ranged = stage(
         df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()), "ranges")
     before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
