@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import importlib.util
 import os
 import tempfile
@@ -102,3 +103,9 @@ def map_rows(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow`` with a function of this package."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver drop what it no longer refers to, so that Spark deletes the shuffle files behind staged tables."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

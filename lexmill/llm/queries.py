@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import arrow_files, chat, embeddings, packing, urls
+from lexmill.llm import (arrow_files, chat, decontaminate, embeddings, jaccard, packing, quality, substring, toxicity,
+                         urls)
 from lexmill.llm.tokens import read_tokenizer
 from lexmill.session import shared_dir, stage
 
@@ -31,6 +32,17 @@ def byte_bpe() -> str:
     return read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op1_substring_dedup(spark, folder):
+    """(doc_id, start, length, words, kept_doc_ids) of every passage that earlier documents hold too."""
+    return substring.repeated_spans(table(spark, folder, "documents"))
+
+
+@query
+def op2_ngram_jaccard_join(spark, folder):
+    return jaccard.near_duplicates(table(spark, folder, "documents"), width=3, percent=90)
+
+
 @query
 def op3_best_fit_packing(spark, folder):
     pieces = packing.token_pieces(table(spark, folder, "documents"), byte_bpe())
@@ -42,6 +54,23 @@ def op4_embedding_near_dedup(spark, folder):
     return embeddings.near_duplicate_vectors(table(spark, folder, "embeddings"))
 
 
+def held_out(modulus: int, remainder: int):
+    """Rows that a classifier never learns from."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus)) == remainder
+
+
+def scored(df: DataFrame, rest, threshold: float) -> DataFrame:
+    return df.select("doc_id", rest.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query
+def op5_quality_rules(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    rest = held_out(5, 0)
+    return scored(quality.score(docs, quality.train(docs, labels.where(~rest))), rest, 0.3)
+
+
 @query
 def op6_arrow_token_files(spark, folder):
     path = os.path.join(shared_dir(spark), f"tokens-{uuid.uuid4().hex}")
@@ -49,6 +78,8 @@ def op6_arrow_token_files(spark, folder):
     return arrow_files.read_token_files(manifest)
 
 
+TOXIC_SCORE = 0.7
+
 # Host, path and verdict of the rules.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -74,6 +105,22 @@ SELECT page_id, host, path, arg_max(rule, n) AS rule, coalesce(arg_max(v, n), 'a
 FROM m GROUP BY page_id, host, path"""
 
 
+@query
+def op8_toxicity_compression(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    rest = held_out(3, 1)
+    return scored(toxicity.score(docs, toxicity.train(docs, labels.where(~rest))), rest, TOXIC_SCORE)
+
+
+@query
+def op9_benchmark_decontamination(spark, folder):
+    """(doc_id, item_id, containment) of every benchmark item that a document holds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    marked = decontaminate.mark_leaks(docs, table(spark, folder, "benchmark"))
+    return marked.select("doc_id", F.explode("leaks").alias("x")).select("doc_id", "x.item_id", "x.containment")
+
+
 @query
 def op10_chat_formatting(spark, folder):
     hard = "</s>[INST] ok [/INST]"
