@@ -21,7 +21,13 @@ def f1(precision: Column, recall: Column) -> Column:
 
 
 def confusion_matrix(df: DataFrame, truth: str, prediction: str, classes: Sequence = (0, 1)) -> DataFrame:
-    """One row per true class, one column ``pred_<class>`` per predicted class, zeros filled."""
+    """One row per true class, one column ``pred_<class>`` per predicted class, zeros filled.
+
+    ``classes`` always appear; any others that occur as truth or prediction are added, so
+    every row with both is counted. Runs a job for the few distinct classes.
+    """
+    seen = df.select(F.explode(F.array(truth, prediction)).alias("c")).where("c is not null").distinct()
+    classes = sorted({*classes, *(r["c"] for r in seen.collect())})
     counts = (df.groupBy(truth).pivot(prediction, list(classes)).agg(F.count(F.lit(1)))
               .na.fill(0, [str(c) for c in classes]))
     every = df.sparkSession.createDataFrame([(c,) for c in classes], [truth]) \

@@ -28,11 +28,15 @@ PROMOTION_RULES = (("validation", "accuracy", ">=", 0.85), ("test", "f1", ">=",
 # --- text features for Spark ML -------------------------------------------------------------------
 
 def fit_text_vectors(train: DataFrame, tokens: str = "tokens", features: str = "features",
-                     max_features: int = 1 << 16) -> PipelineModel:
-    """TF-IDF vectors fitted on ``train``; the vocabulary is bounded by ``max_features``.
+                     max_features: int | None = None) -> PipelineModel:
+    """TF-IDF vectors fitted on ``train`` over all its terms, or the ``max_features`` most frequent.
 
     Spark's idf lacks the added one, so terms are scaled by idf + 1 before the row norm.
+    The linear model has one coefficient per term on the driver; for a vocabulary that
+    does not fit there, the incremental model below keeps its weights in a table.
     """
+    if max_features is None:
+        max_features = max(1, train.select(F.explode(tokens)).distinct().count())
     counter = CountVectorizer(inputCol=tokens, outputCol="_tf", vocabSize=max_features).fit(train)
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counter.transform(train))
     scale = ElementwiseProduct(scalingVec=Vectors.dense(idf.idf.toArray() + 1.0),
@@ -152,12 +156,19 @@ def no_weights(spark) -> DataFrame:
     return spark.createDataFrame([], "term string, w double")
 
 
-def linear_scores(features: DataFrame, weights: DataFrame, row_id: str = "id") -> DataFrame:
-    """(id, score): the model's probability for each row with features."""
+def linear_scores(features: DataFrame, weights: DataFrame, row_id: str = "id", rows: DataFrame | None = None
+                  ) -> DataFrame:
+    """(id, score): the model's probability for each row with features.
+
+    With ``rows`` the ids come from there: one without any known term has a margin of zero plus the intercept.
+    """
     bias = weights.where(F.col("term") == "").agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("b")).scalar()
     sums = (features.join(weights, "term", "left").groupBy(row_id)
             .agg(F.sum(F.col("weight") * F.coalesce("w", F.lit(0.0))).alias("_m")))
-    return sums.select(row_id, (1 / (1 + F.exp(-(F.col("_m") + bias)))).alias("score"))
+    if rows is not None:
+        sums = rows.select(row_id).join(sums, row_id, "left")
+    margin = F.coalesce("_m", F.lit(0.0)) + bias
+    return sums.select(row_id, (1 / (1 + F.exp(-margin))).alias("score"))
 
 
 def log_loss(label: str = "label", score: str = "score") -> Column:
@@ -173,7 +184,7 @@ def partial_fit(weights: DataFrame, features: DataFrame, labels: DataFrame, row_
     rows are combined per id, then per term, so neither the vocabulary nor the batch has
     to fit on one machine.
     """
-    scored = stage(linear_scores(features, weights, row_id).join(labels, row_id)
+    scored = stage(linear_scores(features, weights, row_id, labels).join(labels, row_id)
                    .select(row_id, label, "score"), "scored")
     errors = scored.select(row_id, (F.col("score") - F.col(label)).alias("_e"))
     n = errors.agg(F.count("*").alias("n")).scalar()
@@ -188,13 +199,14 @@ def partial_fit(weights: DataFrame, features: DataFrame, labels: DataFrame, row_
 
 
 def sgd_logistic(features: DataFrame, labels: DataFrame, row_id: str = "id", label: str = "label",
-                 batches: int = 8, rate: float = 2.0, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(weights, losses) after one pass over ``batches`` mini-batches.
+                 batch_rows: int = 10_000, rate: float = 2.0, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(weights, losses) after one pass over all rows in mini-batches of about ``batch_rows``.
 
     The batch follows from the id, so the result does not depend on partitioning.
     ``losses`` holds the loss of each batch before its step.
     """
     spark = features.sparkSession
+    batches = max(1, math.ceil(labels.count() / batch_rows))
     batch = F.pmod(id_number(F.col(row_id), f"{seed}:batch"), F.lit(batches)).cast("int")
     path = new_path(spark, "batches")
     features.withColumn("batch", batch).write.partitionBy("batch").parquet(path)
@@ -202,7 +214,7 @@ def sgd_logistic(features: DataFrame, labels: DataFrame, row_id: str = "id", lab
     weights, losses = no_weights(spark), None
     for k in range(batches):
         part = spark.read.parquet(path).where(F.col("batch") == k).drop("batch")
-        new, scored = partial_fit(weights, part, labels, row_id, label, rate)
+        new, scored = partial_fit(weights, part, labels.where(batch == k), row_id, label, rate)
         loss = scored.agg(log_loss(label).alias("loss")).select(F.lit(k).alias("step"), "loss")
         losses = loss if losses is None else losses.unionByName(loss)
         weights = stage(new, "weights")

@@ -8,24 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexmill.session import plan_bytes, stage
-
-# A small input needs fewer ranges than the session has shuffle partitions.
-RANGE_BYTES = 1 << 20
+from lexmill.session import stage
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column],
                    slices: int | None = None) -> DataFrame:
     """Add the running total of each of ``sums`` in the given, unique order.
 
-    The rows are cut into ordered ranges. A range holds its own running totals,
+    The rows are cut into ordered ranges, by default as many as the session has shuffle partitions. A range holds its own running totals,
     and one row per range (at most ``slices`` in all) carries what lies before it.
     The ranges are staged because their bounds come from a sample and must be the
     same for both uses.
     """
     if slices is None:
-        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        slices = max(1, min(most, plan_bytes(df) // RANGE_BYTES))
+        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = stage(
         df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()), "ranges")
     before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)

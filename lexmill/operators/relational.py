@@ -16,10 +16,14 @@ def attach_labels(x: DataFrame, y: DataFrame, row_id: str = "id", label: str = "
     """``x`` with its label. A row of ``x`` without a label fails the query.
 
     With ``order``, a repeated id of ``y`` takes its last label in that order;
-    without it ids of ``y`` must be unique.
+    without it a repeated id of ``y`` fails the query.
     """
     if order is not None:
         y = y.groupBy(row_id).agg(F.max_by(label, order).alias(label))
+    else:
+        several = F.raise_error(F.concat(F.lit("several labels for id "), F.col(row_id).cast("string")))
+        y = y.groupBy(row_id).agg(F.first(label).alias(label), F.count("*").alias("_n")).select(
+            row_id, F.when(F.col("_n") > 1, several).otherwise(F.col(label)).alias(label))
     found = y.select(row_id, F.struct(F.col(label)).alias("_found"))
     checked = F.when(
         F.col("_found").isNull(),

@@ -89,23 +89,27 @@ def _detached(forms: Column) -> Column:
     return F.flatten(F.transform(forms, each))
 
 
-def lemma_table(vocab: DataFrame, lexicon: DataFrame, depth: int = 3) -> DataFrame:
+def lemma_table(vocab: DataFrame, lexicon: DataFrame) -> DataFrame:
     """(word, new_word) for the words that have a lemma in ``lexicon`` (column word).
 
     Candidates are the word and its one-step detachments; further steps count only if
-    no earlier one is in the lexicon. Among candidates of a step the shortest wins,
-    the earliest rule on ties.
+    no earlier one is in the lexicon, and go on until no word has a candidate left. Among
+    candidates of a step the shortest wins, the earliest rule on ties. Each step detaches
+    letters and keeps only words without a lemma so far, so the table shrinks fast.
     """
-    forms = vocab.select("word", _detached(F.array("word")).alias("f1"))
-    for level in range(2, depth + 1):
-        forms = forms.withColumn(f"f{level}", _detached(F.col(f"f{level - 1}")))
-    first = F.concat(F.array("word"), F.col("f1"))
-    steps = F.array(first, *[F.col(f"f{level}") for level in range(2, depth + 1)])
-    options = (forms.select("word", F.posexplode(steps).alias("step", "forms"))
-               .select("word", "step", F.posexplode("forms").alias("rule", "form")))
-    known = options.join(lexicon.select(F.col("word").alias("form")), "form", "left_semi")
-    return known.groupBy("word").agg(
-        F.min_by("form", F.struct("step", F.length("form"), "rule")).alias("new_word"))
+    known = lexicon.select(F.col("word").alias("form"))
+    forms = vocab.select("word", F.concat(F.array("word"), _detached(F.array("word"))).alias("forms"),
+                         _detached(F.array("word")).alias("next"))
+    found = None
+    while True:
+        options = forms.select("word", F.posexplode("forms").alias("rule", "form"))
+        step = stage(options.join(known, "form", "left_semi").groupBy("word").agg(
+            F.min_by("form", F.struct(F.length("form"), "rule")).alias("new_word")), "lemmas")
+        found = step if found is None else found.unionByName(step)
+        forms = stage(forms.join(step, "word", "left_anti").where(F.size("next") > 0)
+                      .select("word", F.col("next").alias("forms"), _detached(F.col("next")).alias("next")), "forms")
+        if forms.isEmpty():
+            return found
 
 
 def lemmatize(df: DataFrame, row_id: str, tokens: Column, lexicon: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from lexmill.operators.models import fit_text_vectors, logistic
 from lexmill.operators.relational import attach_labels, dedup_by_id, dedup_by_text, sync_labels
 from lexmill.operators.splits import split_stratified_exact
 from lexmill.operators.words import filter_frequent, keep_vocabulary, lemmatize, prepare_tokens, repair_words
-from lexmill.session import compact, stage
+from lexmill.session import stage
 from lexmill.sources.schemas import require_columns
 from lexmill.sources.writers import feature_table, label_table
 
@@ -93,13 +93,13 @@ def top_terms_by_class(x: DataFrame, y: DataFrame, k: int = 10) -> DataFrame:
     return sums.withColumn("place", place).where(F.col("place") <= k).drop("place")
 
 
-def train_and_report(x: DataFrame, y: DataFrame, max_features: int = 1 << 16, **params):
+def train_and_report(x: DataFrame, y: DataFrame, max_features: int | None = None, **params):
     """(vectors, model, report): TF-IDF and logistic regression on train, report on test."""
     rows = attach_labels(x, y.select("id", "label")).withColumn("tokens", clean_words(F.col("feature")))
     rows = stage(rows.select("id", "split", "label", "tokens"), "rows")
     train = rows.where(F.col("split") == "train")
     vectors = fit_text_vectors(train, max_features=max_features)
-    ready = compact(stage(vectors.transform(train).select("id", "label", "features"), "vectors"))
+    ready = stage(vectors.transform(train).select("id", "label", "features"), "vectors")
     model = logistic(ready.count(), **params).fit(ready)
     scored = model.transform(vectors.transform(rows.where(F.col("split") == "test")))
     return vectors, model, classification_report(

@@ -206,21 +206,17 @@ def detached(c: str) -> str:
     return f"[{options}]"
 
 
-LEMMAS = f"""f1 as (select word, unnest({detached('word')}) as form, generate_subscripts({detached('word')}, 1) as rule from vocab),
-f2 as (select word, unnest({detached('form')}) as form, rule * 100 + generate_subscripts({detached('form')}, 1) as rule
-       from f1 where form is not null),
-f3 as (select word, unnest({detached('form')}) as form, rule * 100 + generate_subscripts({detached('form')}, 1) as rule
-       from f2 where form is not null),
-options as (select word, word as form, 0 as step, 0 as rule from vocab
-    union all select word, form, 0, rule from f1 union all select word, form, 1, rule from f2
-    union all select word, form, 2, rule from f3),
-lemmas as (select word, form from options where form in (select word from lexicon)
-    qualify row_number() over (partition by word order by step, length(form), rule) = 1)"""
+LEMMAS = f"""steps as (select word, word as form, [0::bigint] as rule, 0 as level from vocab
+    union all select word, form, list_append(rule, k), level + 1 from (
+        select word, unnest({detached('form')}) as form, generate_subscripts({detached('form')}, 1) as k, rule, level
+        from steps) where form is not null),
+lemmas as (select word, form from steps where form in (select word from lexicon)
+    qualify row_number() over (partition by word order by greatest(level - 1, 0), length(form), rule) = 1)"""
 LEXICON = "lexicon as (select word from counts where n >= 5)"
-O["lemmatize"] = f"""with {TOKENS}, {LEXICON},
+O["lemmatize"] = f"""with recursive {TOKENS}, {LEXICON},
 vocab as (select word from counts where word not in {STOP}), {LEMMAS}
 {rebuilt(f'tok.word not in {STOP}', 'coalesce(lemmas.form, tok.word)', 'left join lemmas on lemmas.word = tok.word')}"""
-O["preprocess_posts"] = f"""with {TOKENS}, {LEXICON}, {SQUEEZED},
+O["preprocess_posts"] = f"""with recursive {TOKENS}, {LEXICON}, {SQUEEZED},
 xtok as materialized (select id, unnest(t) as word, generate_subscripts(t, 1) as pos
         from (select id, string_split(feature, ' ') as t from extended where feature <> '')),
 vocab as (select distinct word from xtok where word not in {STOP} and length(word) >= 3), {LEMMAS}
@@ -311,8 +307,8 @@ ID_LISTS = f"""{POSTS}, plain as (select id, trim(regexp_replace(lower(feature),
     from posts),
 tok as materialized (select id, unnest(w) as word, generate_subscripts(w, 1) as i
         from (select id, string_split(t, ' ') as w from plain where t <> '')),
-idx as (select word, row_number() over (order by count(*) desc, word) as word_id from tok group by word
-        having count(*) >= 5),
+idx as (select word, row_number() over (order by count(*) desc, word) as word_id from tok
+        where {SPLIT} = 'train' group by word),
 ids as (select id, word_id, row_number() over (partition by id order by i) - 1 as pos,
         count(*) over (partition by id) as len from tok join idx using (word))"""
 O["token_ids"] = f"with {ID_LISTS} select id, cast(pos as int) as pos, word_id from ids"

@@ -13,7 +13,7 @@ from lexmill.functions.stopwords import ENGLISH
 from lexmill.operators import (corpus, features, filters, metrics, models, monitor, neighbours, relational,
                                scoring, splits, words)
 from lexmill.plans import flows
-from lexmill.session import compact, new_path, stage
+from lexmill.session import new_path, stage
 from lexmill.sources.readers import parse_word_vectors, read_table
 from lexmill.sources.writers import feature_table, label_table
 from lexmill.streaming import streams
@@ -520,9 +520,10 @@ def word_index(spark, folder):
 def id_lists(spark, folder) -> DataFrame:
     docs = stage(posts(spark, folder).select(
         "id", text.index_words(F.col("feature")).alias("tokens")), "tokens")
-    # Ids are those of the words seen at least five times; others are unseen words.
-    counts = corpus.frequent_words(corpus.vocabulary(docs, F.col("tokens")), 5)
-    return features.token_ids(docs, "id", F.col("tokens"), stage(features.word_index(counts), "index"))
+    # The index is fitted on the training part; other words of the rest have no id.
+    train = splits.split_by_fraction(docs, "id", {"test": 0.1, "val": 0.15}).where(F.col("split") == "train")
+    index = features.word_index(corpus.vocabulary(train, F.col("tokens")))
+    return features.token_ids(docs, "id", F.col("tokens"), stage(index, "index"))
 
 
 @query
@@ -570,17 +571,16 @@ def top_terms_per_class(spark, folder):
 
 def training_rows(spark, folder, folds: int = 3) -> DataFrame:
     """(id, label, tokens, split, fold) of the labelled documents."""
-    rows = relational.merge_on_id(cleaned(spark, folder), label_rows(spark, folder))
-    rows = rows.select("id", "label", text.feature_terms(F.col("feature")).alias("tokens"))
+    rows = relational.merge_on_id(posts(spark, folder), label_rows(spark, folder))
+    rows = rows.select("id", "label", text.feature_terms(text.clean_base(F.col("feature"))).alias("tokens"))
     rows = splits.split_by_fraction(rows, "id", {"test": 0.2})
     return stage(splits.assign_folds(rows, "id", folds, seed=7), "training")
 
 
-def vectorised(spark, folder, max_features: int = 4096):
+def vectorised(spark, folder):
     rows = training_rows(spark, folder)
-    vectors = models.fit_text_vectors(rows.where(F.col("split") == "train"), max_features=max_features)
-    return vectors, compact(stage(vectors.transform(rows).select("id", "label", "split", "fold", "features"),
-                                  "vectors"))
+    vectors = models.fit_text_vectors(rows.where(F.col("split") == "train"))
+    return vectors, stage(vectors.transform(rows).select("id", "label", "split", "fold", "features"), "vectors")
 
 
 def train_part(rows: DataFrame) -> DataFrame:
@@ -656,7 +656,7 @@ def sgd_logistic(spark, folder):
     rows = training_rows(spark, folder)
     train = train_part(rows)
     weights = features.tfidf(train, "id", F.col("tokens"), train_idf(rows))
-    return models.sgd_logistic(weights, train.select("id", "label"), batches=4)[1]
+    return models.sgd_logistic(weights, train.select("id", "label"), batch_rows=500)[1]
 
 
 @query
@@ -827,7 +827,8 @@ def day(c: str = "window_start") -> Column:
 
 
 def timed(spark, folder) -> DataFrame:
-    return scored(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    # Windows on the zone-less time itself: the session's time zone plays no part.
+    return scored(spark, folder)
 
 
 @query

@@ -1,16 +1,15 @@
-"""Session settings, the shared stage folder, and small-input spreading."""
+"""Session settings and the shared stage folder."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Inputs up to this size may sit in one row group, hence in one task.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
 
 def build_session(app: str = "lexmill", cores: str = "*", shuffle_partitions: int | None = None,
                   driver_memory: str = "16g") -> SparkSession:
@@ -32,19 +31,39 @@ def build_session(app: str = "lexmill", cores: str = "*", shuffle_partitions: in
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a private one if it names none."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session, where driver and executors are one process, may go without:
+    it gets a private folder, removed when the process ends. On a cluster an unnamed
+    folder is an error, since executors would write to their own disks.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lexmill-"))
+        folder = tempfile.mkdtemp(prefix="lexmill-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this run's tables below the shared folder."""
+    return os.path.join(shared_dir(spark), "lexmill", spark.sparkContext.applicationId)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), "lexmill", f"{name}-{uuid.uuid4().hex}")
+    """A fresh path for this run."""
+    return os.path.join(run_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete all tables this run has staged. Call it when no result of the run is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -58,24 +77,3 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df``; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input to all cores before CPU-heavy text work.
-
-    A small file often has a single row group and would be read by one task.
-    Larger inputs have many row groups and pass through without a shuffle.
-    """
-    if plan_bytes(df) > SMALL_INPUT_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
-def compact(df: DataFrame, partition_bytes: int = 8 * 1024 * 1024) -> DataFrame:
-    """Fewer partitions for a small training table: an iterative fit pays per task and round."""
-    return df.coalesce(max(1, plan_bytes(df) // partition_bytes))

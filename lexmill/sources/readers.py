@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.functions.text import SPACE, strip
-from lexmill.session import spread
 from lexmill.sources.schemas import EVALUATION, FEATURE, LABEL, NA_STRINGS, RAW_POST
 
 
@@ -48,7 +47,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """One Parquet table of a data folder, cut to ``columns``."""
     df = spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
-    return spread(df.select(*columns) if columns else df)
+    return df.select(*columns) if columns else df
 
 
 def read_evaluation(spark: SparkSession, path: str) -> DataFrame:

@@ -84,12 +84,12 @@ def learnable(spark):
 
 def test_incremental_training_learns(spark, learnable):
     rows = tfidf(learnable, "id", F.col("tokens"), fit_idf(learnable, F.col("tokens")))
-    weights, losses = models.sgd_logistic(rows, learnable.select("id", "label"), batches=4, rate=4.0)
+    weights, losses = models.sgd_logistic(rows, learnable.select("id", "label"), batch_rows=100, rate=4.0)
     loss = [r["loss"] for r in losses.orderBy("step").collect()]
     assert loss[0] == pytest.approx(0.693147, abs=1e-5) and loss[-1] < loss[0] - 0.1
     table = {r["term"]: r["w"] for r in weights.collect()}
     assert table["good"] > 0 > table["dull"]
-    again, _ = models.sgd_logistic(rows.repartition(3), learnable.select("id", "label"), batches=4, rate=4.0)
+    again, _ = models.sgd_logistic(rows.repartition(3), learnable.select("id", "label"), batch_rows=100, rate=4.0)
     assert {r["term"]: round(r["w"], 9) for r in again.collect()} == {t: round(w, 9) for t, w in table.items()}
 
 
