@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,6 +15,7 @@ from lexmill.operators.filters import keep_valid
 from lexmill.operators.metrics import classification_report
 from lexmill.operators.models import fit_text_vectors, logistic
 from lexmill.operators.relational import attach_labels, dedup_by_id, dedup_by_text, sync_labels
+from lexmill.operators.scoring import prediction_log, route, validate_requests
 from lexmill.operators.splits import split_stratified_exact
 from lexmill.operators.words import filter_frequent, keep_vocabulary, lemmatize, prepare_tokens, repair_words
 from lexmill.session import stage
@@ -82,6 +83,17 @@ def clean_and_sync(x: DataFrame, y: DataFrame, stop: Sequence[str] = (), lexicon
     return valid, sync_labels(valid, y)
 
 
+def serve(requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], response_ms: Column, *keep: str,
+          body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(log, rejected): requests checked, scored and logged; those that fail the check keep code and reason.
+
+    ``scorer`` adds ``predicted_sentiment`` to rows with ``tweet``. Works on a table and on a stream.
+    """
+    accepted, rejected = route(validate_requests(requests, body, with_truth=True))
+    log = prediction_log(scorer(accepted), "tweet", F.col("predicted_sentiment"), F.col("true_label"), response_ms, *keep)
+    return log, rejected
+
+
 def top_terms_by_class(x: DataFrame, y: DataFrame, k: int = 10) -> DataFrame:
     """(label, term, weight): the terms of greatest total TF-IDF weight per class, train split."""
     train = stage(attach_labels(x.where(F.col("split") == "train"), y.select("id", "label"))

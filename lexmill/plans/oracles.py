@@ -426,6 +426,19 @@ checked as (select *, case when not ok then 'body is not JSON' when tweet is nul
 select conv_id, turn, tweet, true_label,
     case when bad is not null then 400 when length(body) > 2000 then 500 end as error_code,
     case when bad is not null then bad when length(body) > 2000 then 'scorer failed' end as error from checked"""
+O["raw_posts_read"] = r"""select cast(doc_id % 2 * 4 as int) as polarity, doc_id as post_id, lang as date,
+    source as "user", regexp_replace(text, '[\r\n]+', ' ', 'g') as text from documents"""
+O["split_tables_read"] = O["split_features"]
+O["cleaned_table_read"] = O["clean_base"]
+O["label_table_read"] = "select doc_id as id, quality as label from labels"
+O["metrics_read"] = O["metrics_long"]
+O["predictions_read"] = f"with {SCORED} select id, score, prediction from scored"
+O["request_flow"] = "with flow as (" + O["validate_requests"].replace(
+    "when length(body) > 2000 then 500 ", "").replace("when length(body) > 2000 then 'scorer failed' ", "") + r""")
+select conv_id, turn, length(tweet) as tweet_length,
+    case when length(tweet) % 2 = 0 then 'positif' else 'negatif' end as predicted_sentiment, true_label,
+    case when (length(tweet) % 2 = 0) = (true_label = 'positif') then 'correct' else 'incorrect' end as correctness,
+    length(tweet) / 10 as response_time_ms from flow where error_code is null"""
 O["prediction_log"] = f"""with {JUDGED}
 select id, length(text) as tweet_length, case prediction when 1 then 'positif' else 'negatif' end as predicted_sentiment,
     case truth when 1 then 'positif' else 'negatif' end as true_label,

@@ -14,6 +14,7 @@ from lexmill.operators import (corpus, features, filters, metrics, models, monit
                                scoring, splits, words)
 from lexmill.plans import flows
 from lexmill.session import new_path, stage
+from lexmill.sources import readers, writers
 from lexmill.sources.readers import parse_word_vectors, read_table
 from lexmill.sources.writers import feature_table, label_table
 from lexmill.streaming import streams
@@ -201,6 +202,69 @@ def argmax_class(spark, folder):
     return read_table(spark, folder, "embeddings").select("vec_id", arrays.argmax(F.col("embedding")).alias("arg"))
 
 
+# --- tables written and read again ---------------------------------------------------------------
+
+@query
+def raw_posts_read(spark, folder):
+    """Documents in the raw layout of posts, through CSV files."""
+    line = F.regexp_replace("text", "[\r\n]+", " ")
+    path = new_path(spark, "raw")
+    writers.write_posts(read_table(spark, folder, "documents").select(
+        (F.col("doc_id") % 2 * 4).cast("int").alias("polarity"), F.col("doc_id").alias("post_id"),
+        F.col("lang").alias("date"), F.lit("NO_QUERY").alias("query"), F.col("source").alias("user"),
+        line.alias("text")), path)
+    return readers.read_posts(spark, path).select("polarity", "post_id", "date", "user", "text")
+
+
+@query
+def split_tables_read(spark, folder):
+    path = new_path(spark, "split")
+    marked = splits.split_by_fraction(posts(spark, folder), "id", {"test": 0.1, "val": 0.15})
+    writers.write_by_split(feature_table(marked, "id", "feature"), path)
+    return spark.read.parquet(path).select("id", "feature", "split")
+
+
+@query
+def cleaned_table_read(spark, folder):
+    path = new_path(spark, "cleaned")
+    writers.write_table(cleaned(spark, folder), path)
+    return readers.read_features(spark, path)
+
+
+@query
+def label_table_read(spark, folder):
+    path = new_path(spark, "labels")
+    writers.write_table(label_rows(spark, folder), path)
+    return readers.read_labels(spark, path)
+
+
+@query
+def metrics_read(spark, folder):
+    path = new_path(spark, "metrics")
+    writers.write_metrics(metrics.flatten_report(
+        metrics.classification_report(scored(spark, folder), "truth", "prediction")), path)
+    return spark.read.schema("metric string, value double").json(path).withColumn("value", r6("value"))
+
+
+@query
+def predictions_read(spark, folder):
+    path = new_path(spark, "predictions")
+    writers.write_predictions(scored(spark, folder), path)
+    return spark.read.schema("id long, score double, prediction int").json(path)
+
+
+@query
+def request_flow(spark, folder):
+    """Requests checked, scored by the length of the text and logged."""
+    def scorer(df):
+        return df.withColumn("predicted_sentiment", labels.sentiment_of_truth(
+            (F.length("tweet") % 2 == 0).cast("int")))
+
+    log, _ = flows.serve(request_bodies(read_table(spark, folder, "conversations")), scorer,
+                         F.length("tweet") / 10, "conv_id", "turn")
+    return log
+
+
 # --- joins and de-duplication ---------------------------------------------------------------------
 
 @query

@@ -17,26 +17,29 @@ def blank_to_null(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(*NA_STRINGS), F.col(c)) for c in columns})
 
 
-def read_posts(spark: SparkSession, path: str, na_strings: bool = False) -> DataFrame:
-    """Headerless CSV of raw posts with quoted, possibly multi-line text."""
+def read_posts(spark: SparkSession, path: str, na_strings: bool = False, multi_line: bool = False) -> DataFrame:
+    """Headerless CSV of raw posts, one a line, so that a large file is read in parallel.
+
+    ``multi_line`` allows quoted line breaks; then each file is one task.
+    """
     df = (spark.read.schema(RAW_POST)
-          .option("quote", '"').option("escape", '"').option("multiLine", True)
+          .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
           .csv(path, header=False))
     text_columns = [f.name for f in RAW_POST.fields if isinstance(f.dataType, T.StringType)]
     return blank_to_null(df, *text_columns) if na_strings else df
 
 
-def _read_pairs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read_pairs(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     if path.rstrip("/").endswith(".csv"):
         return (spark.read.schema(schema).option("quote", '"').option("escape", '"')
-                .option("multiLine", True).csv(path, header=True))
+                .option("multiLine", multi_line).csv(path, header=True))
     return spark.read.parquet(path).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_features(spark: SparkSession, path: str) -> DataFrame:
+def read_features(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """(id, feature) from CSV with header or from Parquet."""
-    return _read_pairs(spark, path, FEATURE)
+    return _read_pairs(spark, path, FEATURE, multi_line)
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
@@ -50,10 +53,10 @@ def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
-def read_evaluation(spark: SparkSession, path: str) -> DataFrame:
+def read_evaluation(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """An already split evaluation file (tweet, id), where ``id`` is the label, as (feature, label)."""
     df = (spark.read.schema(EVALUATION).option("quote", '"').option("escape", '"')
-          .option("multiLine", True).csv(path, header=True))
+          .option("multiLine", multi_line).csv(path, header=True))
     return df.select(F.col("tweet").alias("feature"), F.col("id").alias("label"))
 
 

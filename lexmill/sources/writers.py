@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.sources.schemas import require_columns
+from lexmill.sources.schemas import RAW_POST, require_columns
 
 
 def feature_table(df: DataFrame, row_id: str, text: str) -> DataFrame:
@@ -20,6 +20,12 @@ def label_table(df: DataFrame, row_id: str, label: str) -> DataFrame:
     return df.select(F.col(row_id).alias("id"), F.col(label).alias("label"), "split")
 
 
+def write_posts(posts: DataFrame, path: str) -> None:
+    """Headerless CSV of raw posts, all values quoted; blanks at the ends are kept."""
+    posts.select(*RAW_POST.names).write.mode("overwrite").option("quoteAll", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
 def write_by_split(df: DataFrame, path: str) -> None:
     """One table, one folder per split."""
     df.write.mode("overwrite").partitionBy("split").parquet(path)

@@ -23,10 +23,10 @@ def test_raw_csv(spark, tmp_path):
     path = tmp_path / "posts.csv"
     path.write_text('"0","11","Mon","NO_QUERY","ann","a ""quoted"" text, with comma"\n'
                     '"4","12","Tue","NO_QUERY","bob","two\nlines"\n"4","13","Tue","n/a","cem","null"\n')
-    df = readers.read_posts(spark, str(path))
+    df = readers.read_posts(spark, str(path), multi_line=True)
     assert rows(df, "polarity", "post_id", "text") == [
         (0, 11, 'a "quoted" text, with comma'), (4, 12, "two\nlines"), (4, 13, "null")]
-    df = readers.read_posts(spark, str(path), na_strings=True)
+    df = readers.read_posts(spark, str(path), na_strings=True, multi_line=True)
     assert df.where("post_id = 13").select("query", "text", "user").first() == (None, None, "cem")
 
 
