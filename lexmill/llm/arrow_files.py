@@ -129,7 +129,7 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, folder: str, length:
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        encode = encoder(shared.value).encode
+        encode = encoder(shared.value).encode_many
         task = TaskContext.get()
         name = f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}"
         files, inner = _fs(name)
@@ -147,9 +147,9 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, folder: str, length:
 
             for batch in slices(all_batches()):
                 starts, sizes = [], []
-                for text in batch.column(1).to_pylist():
+                for ids in encode(batch.column(1).to_pylist()):
                     starts.append(out.total)
-                    out.add(np.concatenate([encode(text), end]))
+                    out.add(np.concatenate([ids, end]))
                     sizes.append(out.total - starts[-1])
                 index.write_batch(pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=INDEX))

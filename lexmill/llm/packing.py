@@ -28,12 +28,12 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = 2048, end
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def cut(batches):
-        encode = encoder(shared.value).encode
+        encode = encoder(shared.value).encode_many
         end = np.array([end_id], dtype="<u4")
         for batch in slices(batches):
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.concatenate([encode(text), end])
+            for doc, found in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+                ids = np.concatenate([found, end])
                 stop = len(ids) % capacity or min(capacity, len(ids))
                 start = 0
                 for piece in range(-(-len(ids) // capacity)):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from itertools import islice
 
 import numpy as np
 import regex
@@ -13,7 +14,7 @@ SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 # Scripts in which all Unicode versions agree on letters, digits and white space.
 _OTHER = regex.compile("[^\x00-ɏḀ-ỿ‐-›€]")
-REMEMBERED = 250_000
+REMEMBERED = 1_000_000  # pieces; about 200 MB in a worker
 
 
 class Encoder:
@@ -33,26 +34,58 @@ class Encoder:
         self.by_piece = (plan.get("normalizer") is None and plan["model"].get("type") == "BPE"
                          and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                          and not pre.get("add_prefix_space"))
-        self.pieces = regex.compile(SPLIT)
+        self.pieces = regex.compile(SPLIT).findall
         self.known: dict[str, bytes] = {}
+        # Pieces that are new go to the library together, one per line, if a line end is always one id.
+        line_end = self._ids(["\n"])[0]
+        self.line_end = int(np.frombuffer(line_end, "<u4")[0]) if self.by_piece and len(line_end) == 4 else None
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _learn(self, fresh: list[str]) -> None:
+        if len(self.known) + len(fresh) > REMEMBERED:
+            # The pieces seen first are the frequent ones.
+            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
+        plain = [p for p in fresh if not p.isspace() and "\n" not in p] if self.line_end is not None else []
+        for at in range(0, len(plain), 10_000):
+            part = plain[at:at + 10_000]
+            ids = np.frombuffer(self._ids(["\n".join(part)])[0], dtype="<u4")
+            ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)).tolist()
+            raw, start = ids.tobytes(), 0
+            if len(ends) != len(part):
+                self.known.update(zip(part, self._ids(part)))
+                continue
+            for p, end in zip(part, ends):
+                self.known[p] = raw[4 * start:4 * end]
+                start = end + 1
+        rest = [p for p in fresh if p not in self.known]
+        self.known.update(zip(rest, self._ids(rest)))
+
     def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype="<u4")
-        if not self.by_piece or _OTHER.search(text):
-            return np.frombuffer(self._ids([text])[0], dtype="<u4")
-        pieces = self.pieces.findall(text)
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text, as little-endian unsigned 32-bit."""
+        split, whole = {}, []
+        for k, text in enumerate(texts):
+            if text and self.by_piece and not _OTHER.search(text):
+                split[k] = self.pieces(text)
+            elif text:
+                whole.append(k)
         known = self.known
-        if fresh := list({p for p in pieces if p not in known}):
-            if len(known) + len(fresh) > REMEMBERED:
-                known.clear()
-                fresh = list(set(pieces))
-            known.update(zip(fresh, self._ids(fresh)))
-        return np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype="<u4")
+        if fresh := list({p for pieces in split.values() for p in pieces if p not in known}):
+            self._learn(fresh)
+        out = [b""] * len(texts)
+        for k, pieces in split.items():
+            try:
+                out[k] = b"".join(map(self.known.__getitem__, pieces))
+            except KeyError:  # forgotten meanwhile, as room was needed
+                whole.append(k)
+        for k, ids in zip(whole, self._ids([texts[k] for k in whole])):
+            out[k] = ids
+        return [np.frombuffer(ids, dtype="<u4") for ids in out]
 
 
 _ENCODERS: dict[int, Encoder] = {}
