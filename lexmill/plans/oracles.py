@@ -452,7 +452,6 @@ select count(*) as n_asked, count(*) filter (n_chars >= 500) as n_answered,
     round(100 * avg(cast(truth = prediction as int)) filter (n_chars >= 500), 6) as accuracy_percent from asked"""
 DAY = "strftime(ts, '%Y-%m-%d')"
 # A streamed window is final once the watermark, one hour behind the last event, has passed its end.
-CLOSED = ("where date_trunc('day', ts) + interval 1 day <= (select max(ts) from events) - interval 1 hour")
 
 
 def by_class(where: str = "") -> str:
@@ -514,9 +513,9 @@ select r.stage, bool_and(coalesce(case r.op when '>=' then value >= bound when '
     as passed from rules r left join measured m on m.stage = r.stage and m.metric = r.metric group by r.stage"""
 
 # --- streaming twins
-O["stream_latency_alerts"] = latency(CLOSED)
-O["stream_error_rate_alerts"] = errors(CLOSED)
-O["stream_class_quality"] = by_class(CLOSED)
+O["stream_latency_alerts"] = O["latency_alerts"]
+O["stream_error_rate_alerts"] = O["error_rate_alerts"]
+O["stream_class_quality"] = O["class_quality_by_day"]
 O["stream_validate_requests"] = O["validate_requests"]
 O["stream_new_labels"] = f"with {FRESH} select distinct sha256(text) as digest from fresh"
 

@@ -22,6 +22,7 @@ from lexmill.streaming import streams
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DIM = 64
 HALF_TIME = "2024-01-16 00:00:00"
+FIRST_SECOND = 1_704_067_200  # documents have no time of their own: one a second
 
 
 def query(f):
@@ -111,6 +112,15 @@ def run_stream(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def run_windows(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """All files that are there now, open windows included: the newest state of each window."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    streams.write_updates(df, path, new_path(spark, f"{name}-log")).awaitTermination()
+    rows = streams.current_rows(spark, path, df.schema, *keys)
+    return rows.withColumn("window_start", streams.utc_time("window_start"))
+
+
 # --- sources and projections --------------------------------------------------------------------
 
 @query
@@ -958,20 +968,20 @@ def incremental_labels(spark, folder):
 @query
 def stream_latency_alerts(spark, folder):
     alerts = monitor.latency_alerts(stream_of_events(spark, folder), "ts", "value", 300.0)
-    return latency_columns(run_stream(alerts, "latency"))
+    return latency_columns(run_windows(alerts, "latency", "window_start"))
 
 
 @query
 def stream_error_rate_alerts(spark, folder):
     alerts = monitor.error_rate_alerts(stream_of_events(spark, folder), "ts", F.col("event_type") == "error", 0.2)
-    return run_stream(alerts, "errors").select(day(), "n", "n_errors", r6("error_share").alias("error_share"),
+    return run_windows(alerts, "errors", "window_start").select(day(), "n", "n_errors", r6("error_share").alias("error_share"),
                                                "breach")
 
 
 @query
 def stream_class_quality(spark, folder):
     quality = monitor.class_quality(score_events(stream_of_events(spark, folder)), "ts", "truth", "prediction")
-    return run_stream(quality, "quality").select(day(), "class", "n", r6("accuracy").alias("accuracy"))
+    return run_windows(quality, "quality", "window_start", "class").select(day(), "class", "n", r6("accuracy").alias("accuracy"))
 
 
 @query
@@ -985,8 +995,8 @@ def stream_validate_requests(spark, folder):
 @query
 def stream_new_labels(spark, folder):
     schema = spark.read.parquet(f"{folder}/documents.parquet").schema
-    docs = streams.read_files(spark, folder, schema, "documents.parquet").withColumn("ts", F.lit(HALF_TIME)
-                                                                                    .cast("timestamp"))
+    docs = streams.read_files(spark, folder, schema, "documents.parquet").withColumn(
+        "ts", F.timestamp_seconds(F.lit(FIRST_SECOND) + F.col("doc_id")))
     fresh = streams.new_labels(docs.withColumnRenamed("doc_id", "id"), label_rows(spark, folder), "id", "text", "ts")
     # Which of several equal texts comes first is open in a stream; the texts are not.
     return run_stream(fresh.select(F.sha2("text", 256).alias("digest")), "labels")

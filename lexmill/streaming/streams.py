@@ -35,8 +35,21 @@ def read_files(spark: SparkSession, folder: str, schema: T.StructType, pattern:
 
 
 def with_event_time(df: DataFrame, ts: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """Event time as a timestamp, late by at most ``delay``."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    """A zone-less event time as an instant, late by at most ``delay``.
+
+    Watermarks need instants. The time is read as UTC whatever the session's time zone is.
+    """
+    t = F.col(ts).cast("timestamp_ntz")
+    day, hour, minute = (c.cast("long") for c in (F.unix_date(F.to_date(t)), F.hour(t), F.minute(t)))
+    second = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("long")
+    micros = ((day * 24 + hour) * 60 + minute) * F.lit(60_000_000) + second
+    return df.withColumn(ts, F.timestamp_micros(micros)).withWatermark(ts, delay)
+
+
+def utc_time(instant: str) -> Column:
+    """The zone-less UTC time of an instant."""
+    seconds = f"cast(unix_micros({instant}) as decimal(24, 6)) / 1000000"
+    return F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})")
 
 
 def write_append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -51,6 +64,20 @@ def write_batches(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpo
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def write_updates(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Every changed row of each batch, open windows included; a batch that runs again overwrites its folder."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
+    return write_batches(df, sink, checkpoint, mode="update")
+
+
+def current_rows(spark: SparkSession, path: str, schema: T.StructType, *keys: str) -> DataFrame:
+    """The newest state of each row that ``write_updates`` has written."""
+    rows = spark.read.schema(schema.add("batch", T.LongType())).parquet(path)
+    newest = F.max_by(F.struct(*[c for c in schema.names if c != "batch"]), "batch").alias("row")
+    return rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(newest).select("row.*")
+
+
 def route_to(accepted: str, rejected: str) -> Callable[[DataFrame, int], None]:
     """Sink that parts validated requests into two tables."""
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -62,9 +89,9 @@ def route_to(accepted: str, rejected: str) -> Callable[[DataFrame, int], None]:
 
 
 def new_labels(df: DataFrame, known: DataFrame, row_id: str, text: str, ts: str, delay: str = "1 day") -> DataFrame:
-    """New labelled rows of a stream: unknown ids, one row per text within the watermark."""
+    """New labelled rows of a stream: unknown ids, within the watermark one row per id, then one per text."""
     fresh = df.withWatermark(ts, delay).join(known.select(row_id), row_id, "left_anti")
-    return (fresh.withColumn("_digest", F.sha2(text, 256))
+    return (fresh.dropDuplicatesWithinWatermark([row_id]).withColumn("_digest", F.sha2(text, 256))
             .dropDuplicatesWithinWatermark(["_digest"]).drop("_digest"))
 
 

@@ -49,7 +49,7 @@ def test_lemmas_of_any_depth(spark):
     assert got == {"bosss": "bo", "bosssss": "bo", "bo": "bo"}
 
 
-@pytest.mark.parametrize("name", ["class_quality_by_day", "latency_alerts", "error_rate_alerts"])
+@pytest.mark.parametrize("name", ["class_quality_by_day", "latency_alerts", "error_rate_alerts", "stream_latency_alerts"])
 def test_days_do_not_depend_on_the_time_zone(spark, folder, name):
     before = spark.conf.get("spark.sql.session.timeZone")
     found = []
