@@ -33,8 +33,8 @@ class _Distance:
 
     def __init__(self, model: Model):
         settings = zstandard.ZstdCompressionParameters(
-            format=zstandard.FORMAT_ZSTD1_MAGICLESS, strategy=zstandard.STRATEGY_BTOPT, window_log=17, hash_log=14,
-            chain_log=14, search_log=5, min_match=3, target_length=64, write_content_size=False,
+            format=zstandard.FORMAT_ZSTD1_MAGICLESS, strategy=zstandard.STRATEGY_BTOPT, window_log=17, hash_log=15,
+            chain_log=17, search_log=6, min_match=3, target_length=64, write_content_size=False,
             write_checksum=False, write_dict_id=False)
         self.sizes = []
         for content in (model.ordinary, model.toxic):
@@ -129,8 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, rows_toxic: int = 2_000, rows_ordi
     for value, n in ((1, rows_toxic), (0, rows_ordinary)):
         part = marks.where(F.col("toxic") == value).orderBy(F.xxhash64("id"), "id").limit(n)
         picked = part if picked is None else picked.unionByName(part)
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("text is not null")
-    sample = texts.join(F.broadcast(picked), "id").select("text", "toxic")
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    sample = texts.where("text is not null").join(F.broadcast(picked), "id").select("text", "toxic")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     toxic_rows, ordinary_rows = n.get(1, 0), n.get(0, 0)
     lift = (F.col("t") + 0.1) / max(toxic_rows, 1) / ((F.col("o") + 0.1) / max(ordinary_rows, 1))
