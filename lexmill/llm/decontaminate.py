@@ -128,7 +128,8 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, pe
     benchmark gives empty lists. A column called ``name`` is replaced.
     """
     docs = docs.drop(name)
-    items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), F.col(f"`{item_text_col}`").alias("text"))
+    items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"),
+                             F.col(f"`{item_text_col}`").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     at = docs.columns.index(text_col)

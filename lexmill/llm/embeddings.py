@@ -50,8 +50,8 @@ def _hashes(passes: list[int], seed: int):
                     planes = np.random.default_rng([seed, p, size]).standard_normal((size // 8, 64))
                     bits = np.packbits(x @ planes > 0, axis=1)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), p, np.int32)), part.column(1), pa.array(np.full(len(x), size, np.int32)),
-                         pa.array([b.tobytes() for b in bits], pa.binary()), part.column(0), part.column(2)],
+                        [pa.array(np.full(len(x), p, np.int32)), part.column(1),
+                         pa.array(np.full(len(x), size, np.int32)), pa.array([b.tobytes() for b in bits], pa.binary()), part.column(0), part.column(2)],
                         names=["pass", "label", "size", "hash", "vec_id", "vec"])
     return rows
 
@@ -175,7 +175,7 @@ def near_duplicate_vectors(df: DataFrame, threshold: float = 0.98, passes: int =
     blocked = members.join(sizes, "component").withColumn(
         "block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    left = blocked.select("component", F.col("block").alias("i"), others, "vec_id", "vec").withColumnRenamed("other", "j")
+    left = blocked.select("component", F.col("block").alias("i"), others.alias("j"), "vec_id", "vec")
     # New names for every column, or Spark takes the two sides for one.
     right = blocked.select(*[F.col(c).alias(f"{c}2") for c in ("component", "block", "vec_id", "vec", "copies")],
                            others).toDF("component", "j", "vec_id", "vec", "copies", "i")

@@ -60,7 +60,8 @@ def held_out(modulus: int, remainder: int):
 
 
 def scored(df: DataFrame, rest, threshold: float) -> DataFrame:
-    return df.select("doc_id", rest.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return df.select("doc_id", rest.alias("held_out"), "score",
+                     (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 @query

@@ -92,7 +92,8 @@ def repeated_spans(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id",
         "_run", F.sum("_fresh").over(order.rowsBetween(W.unboundedPreceding, 0)))
     return (runs.groupBy("doc_id", "_run")
             .agg(F.min("start").alias("start"), F.sum("length").cast("int").alias("length"),
-                 F.sum("words").cast("int").alias("words"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_doc_ids"))
+                 F.sum("words").cast("int").alias("words"),
+                 F.array_sort(F.collect_set("kept_doc_id")).alias("kept_doc_ids"))
             .where(F.col("words") >= min_words).drop("_run"))
 
 
