@@ -51,7 +51,8 @@ def _hashes(passes: list[int], seed: int):
                     bits = np.packbits(x @ planes > 0, axis=1)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(x), p, np.int32)), part.column(1),
-                         pa.array(np.full(len(x), size, np.int32)), pa.array([b.tobytes() for b in bits], pa.binary()), part.column(0), part.column(2)],
+                         pa.array(np.full(len(x), size, np.int32)),
+                         pa.array([b.tobytes() for b in bits], pa.binary()), part.column(0), part.column(2)],
                         names=["pass", "label", "size", "hash", "vec_id", "vec"])
     return rows
 
