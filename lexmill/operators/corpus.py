@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexmill.session import stage
@@ -70,8 +71,9 @@ def density_curve(df: DataFrame, value: str, points: int = 200) -> DataFrame:
 def label_shares(df: DataFrame, label: str) -> DataFrame:
     """Count and percent per label."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    n = df.agg(F.count("*").alias("n")).scalar()
-    return counts.select(label, "n", (F.lit(100.0) * F.col("n") / n).alias("percent"))
+    # The total goes over one row per label, not over the table again.
+    total = F.sum("n").over(W.partitionBy())
+    return counts.select(label, "n", (F.lit(100.0) * F.col("n") / total).alias("percent"))
 
 
 def explode_words(df: DataFrame, tokens: Column, *keep: str, name: str = "word") -> DataFrame:

@@ -31,27 +31,25 @@ def term_counts(df: DataFrame, row_id: str, tokens: Column) -> DataFrame:
     return starts.select(row_id, F.inline(pairs))
 
 
-def top_terms(df: DataFrame, tokens: Column, max_features: int) -> DataFrame:
-    """The ``max_features`` terms with the greatest corpus count, ties by the term."""
-    return (explode_words(df, tokens, name="term").groupBy("term").agg(F.count("*").alias("n"))
-            .orderBy(F.desc("n"), "term").limit(max_features).select("term"))
-
-
 def fit_idf(train: DataFrame, tokens: Column, max_features: int | None = None) -> DataFrame:
     """(term, df, idf) with idf = ln((1 + n) / (1 + df)) + 1 on the training texts.
 
-    Repeats are removed inside each row, so only partial counts are shuffled.
+    Repeats are removed inside each row, so only partial counts are shuffled. With
+    ``max_features`` only the terms with the greatest corpus count stay, ties by the term.
     """
     n = train.agg(F.count("*").alias("n")).scalar()
-    counts = (explode_words(train, F.array_distinct(tokens), name="term")
-              .groupBy("term").agg(F.count("*").alias("df")))
-    if max_features is not None:
-        counts = counts.join(top_terms(train, tokens, max_features), "term", "left_semi")
+    if max_features is None:
+        counts = (explode_words(train, F.array_distinct(tokens), name="term")
+                  .groupBy("term").agg(F.count("*").alias("df")))
+    else:
+        inside = term_counts(train.select(F.lit(0).alias("_row"), tokens.alias("_tokens")), "_row", F.col("_tokens"))
+        counts = (inside.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("n"))
+                  .orderBy(F.desc("n"), "term").limit(max_features))
     return counts.select("term", "df", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def tfidf(df: DataFrame, row_id: str, tokens: Column, idf: DataFrame) -> DataFrame:
-    """(id, term, weight): tf * idf over the fitted terms, rows of length one.
+def _weighted_rows(df: DataFrame, row_id: str, tokens: Column, idf: DataFrame) -> DataFrame:
+    """(id, terms): tf * idf over the fitted terms, one row of length one per text with such a term.
 
     One shuffle by id for the row norm; the idf table is broadcast when it is small.
     """
@@ -59,15 +57,18 @@ def tfidf(df: DataFrame, row_id: str, tokens: Column, idf: DataFrame) -> DataFra
            .select(row_id, "term", (F.col("tf") * F.col("idf")).alias("w")))
     rows = raw.groupBy(row_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"),
                                    F.collect_list(F.struct("term", "w")).alias("_terms"))
-    return (rows.select(row_id, "_norm", F.inline("_terms"))
-            .select(row_id, "term", (F.col("w") / F.col("_norm")).alias("weight")))
+    return rows.select(row_id, F.transform("_terms", lambda t: F.struct(
+        t["term"].alias("term"), (t["w"] / F.col("_norm")).alias("weight"))).alias("terms"))
+
+
+def tfidf(df: DataFrame, row_id: str, tokens: Column, idf: DataFrame) -> DataFrame:
+    """(id, term, weight): tf * idf over the fitted terms, rows of length one."""
+    return _weighted_rows(df, row_id, tokens, idf).select(row_id, F.inline("terms"))
 
 
 def tfidf_rows(df: DataFrame, row_id: str, tokens: Column, idf: DataFrame) -> DataFrame:
     """(id, terms): one row per text, with no terms for a text without known words."""
-    weights = tfidf(df, row_id, tokens, idf)
-    packed = weights.groupBy(row_id).agg(
-        F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("terms"))
+    packed = _weighted_rows(df, row_id, tokens, idf).withColumn("terms", F.sort_array("terms"))
     empty = F.array().cast("array<struct<term:string,weight:double>>")
     return df.select(row_id).join(packed, row_id, "left").withColumn("terms", F.coalesce("terms", empty))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexmill.operators.ordered import running_totals
@@ -77,9 +78,9 @@ def ks_drift(base: DataFrame, current: DataFrame, value: str, alpha: float = 0.0
 
 
 def class_shares(df: DataFrame, cls: str, name: str) -> DataFrame:
-    n = df.agg(F.count("*").alias("n")).scalar()
+    # The total goes over one row per class, not over the table again.
     return df.groupBy(F.col(cls).alias("class")).agg(F.count("*").alias("c")).select(
-        "class", (F.col("c") / n).alias(name))
+        "class", (F.col("c") / F.sum("c").over(W.partitionBy())).alias(name))
 
 
 def prediction_shift(base: DataFrame, current: DataFrame, cls: str, floor: float = 1e-6) -> DataFrame:

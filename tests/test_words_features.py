@@ -83,7 +83,7 @@ def test_tfidf(spark):
                    (2, "good"): 0.605349, (2, "night"): 0.795961}
     packed = features.tfidf_rows(texts(spark, "zzz", None, "good"), "id", t, idf).orderBy("id").collect()
     assert [len(r["terms"]) for r in packed] == [0, 0, 1]
-    assert [r["term"] for r in features.top_terms(df, t, 2).collect()] == ["good", "day"]
+    assert {r["term"] for r in features.fit_idf(df, t, 2).collect()} == {"good", "day"}
 
 
 def test_ml_vectors_equal_table(spark):
