@@ -15,6 +15,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.session import new_path
+
 # A worker forgets its remembered words beyond this number, so its memory is bounded.
 REMEMBERED = 400_000
 
@@ -109,3 +111,23 @@ def release(spark: SparkSession) -> None:
     """Let the driver drop what it no longer refers to, so that Spark deletes the shuffle files behind staged tables."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+class Scratch:
+    """Tables of one operator's run in the shared folder, deleted together once its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        jvm, jsc = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc
+        for path in self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
+        self.paths = []
