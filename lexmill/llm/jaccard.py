@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexmill.llm.common import Scratch, map_rows, mix, plain_words, release, shingle_hashes, slices, ship, word_hashes
@@ -15,6 +16,7 @@ from lexmill.session import stage
 
 SKETCH_BITS = 20  # buckets in which words and shingles are counted; two tables of a megabyte go to each task
 PART = 4096  # buckets in a row while counts are added up
+ROUNDS = 2  # further leaders at a shingle before the remaining pairs are expanded
 ID_BITS = 23  # bits of the filter that tells which documents a verification needs
 SETS = "doc_id long, n long, s1 long, s2 long, p1 long, p2 long, prefix array<long>, spread binary"
 _SHIFT = np.uint64(64 - SKETCH_BITS)
@@ -238,6 +240,28 @@ def _verify(scratch: Scratch, pairs: DataFrame, docs: DataFrame, members: DataFr
     return exact.unionByName(bounds.where("not maybe").select("a", "b", "both", "union", F.lit(False).alias("exact")))
 
 
+def _shared(nx: Column, ny: Column, percent: int) -> Column:
+    """How many shingles the prefixes of two linked sets share at least.
+
+    So one that both share is not among the (this number less one) most frequent of either.
+    """
+    both = F.ceil(percent * (nx + ny) / (100 + percent) - 1e-9)
+    return F.least(*[both + 1 - F.ceil(percent * n / 100 - 1e-9) for n in (nx, ny)])
+
+
+def _open(scratch: Scratch, posts: DataFrame, members: DataFrame, links: DataFrame) -> DataFrame:
+    """(t, rep, n, part, lead, place): the members, but for its leader, at each shingle whose members are not yet in
+    one component."""
+    parts = scratch.stage(connected_components(links), "parts")
+    apart = (members.select("gid", "rep", "n").join(parts, members["rep"] == parts["node"], "left")
+             .select("gid", "rep", "n", F.coalesce("component", "rep").alias("part")))
+    range_of = apart.groupBy("gid").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
+    open_at = (posts.join(range_of, "gid").groupBy("t").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+               .where("lo < hi").select("t"))
+    return scratch.stage(posts.join(open_at, "t").join(apart, "gid").where("rep <> lead").select(
+        "t", "rep", "n", "part", "lead", "place"), "open")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row; documents link at a Jaccard similarity of ``percent`` or more.
@@ -252,12 +276,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     two sets that link share one of the first ``n - ceil(percent n) + 1``. Documents with
     equal sets are one class, classes with equal prefix and size one group; only groups
     meet at a shingle. There, the smallest group leads: all members of the groups are
-    verified against it, which is linear however large the group. A verification first
+    verified against it, which is linear however large the group, and after it against
+    ``ROUNDS`` more leaders where not all are linked yet. A verification first
     bounds the intersection by counts per hash range, and only then reads the texts again
     of pairs that can link. Then only pairs in still
     different components remain that share a shingle, are of fitting size, and whose
     distances to the leader differ by no more than the threshold (Jaccard distance is a
-    metric, so others cannot link); these are expanded and verified too. No link is lost.
+    metric, so others cannot link), at shingles that are not too frequent in both for the
+    number that linked prefixes share; these are expanded and verified too. No link is lost.
     """
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     scratch = Scratch(docs.sparkSession)
@@ -275,7 +301,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     leaders = at.groupBy("t").agg(F.min("gid").alias("lead"), F.count("*").alias("many")).where("many > 1")
     alone = members.groupBy("gid").agg(F.count("*").alias("many")).where("many > 1").select(
         F.xxhash64("gid", F.lit("group")).alias("t"), "gid", F.col("gid").alias("lead"))
-    posts = scratch.stage(at.join(leaders.drop("many"), "t").select("t", "gid", "lead").unionByName(alone), "posts")
+    # Place of a shingle in its group, from the most frequent of the shared ones; a prefix is one partition's row.
+    place = F.row_number().over(W.partitionBy("gid").orderBy(F.desc("many"), "t"))
+    posts = scratch.stage(at.join(leaders, "t").select("t", "gid", "lead", place.alias("place")).unionByName(
+        alone.withColumn("place", F.lit(1 << 30))), "posts")
     release(docs.sparkSession)
     led = posts.select("lead", "gid").distinct()
     first = led.join(members.select("gid", "rep"), "gid").where("rep <> lead").select(
@@ -283,24 +312,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     seen = _verify(scratch, first, docs, members, width, percent)
     linked = f"exact and 100 * both >= {percent} * union"
     links = seen.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    parts = scratch.stage(connected_components(links), "parts")
-    # What is left: shingles whose members are not all in one component yet.
-    apart = (members.select("gid", "rep", "n").join(parts, members["rep"] == parts["node"], "left")
-             .select("gid", "rep", "n", F.coalesce("component", "rep").alias("part")))
-    range_of = apart.groupBy("gid").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
-    open_at = (posts.join(range_of, "gid").groupBy("t").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-               .where("lo < hi").select("t"))
+    left = _open(scratch, posts, members, links)
+    for _ in range(ROUNDS):
+        # The next leader of a shingle is the member with the most links so far.
+        ends = links.select(F.col("u").alias("rep")).unionByName(links.select(F.col("v").alias("rep")))
+        degree = ends.groupBy("rep").agg(F.count("*").alias("degree"))
+        best = (left.join(degree, "rep", "left").groupBy("t")
+                .agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "rep", "part", "n")).alias("l")))
+        again = left.join(best, "t").where("rep <> l.rep and part <> l.part").where(
+            100 * F.least("n", "l.n") >= percent * F.greatest("n", "l.n")).select(
+            F.col("l.rep").alias("a"), F.col("rep").alias("b")).distinct()
+        found = _verify(scratch, again, docs, members, width, percent)
+        links = links.unionByName(found.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        left = _open(scratch, posts, members, links)
     # The distance to the leader: exact, or at least that of the greatest possible intersection.
     least = 1 - F.col("both") / F.col("union")
     far = seen.select(F.col("a").alias("lead"), F.col("b").alias("rep"), least.alias("d"),
                       F.when(F.col("exact"), least).otherwise(1.0).alias("e"))
-    left = scratch.stage(posts.join(open_at, "t").join(apart, "gid").where("rep <> lead")
-                 .join(far, ["lead", "rep"]).select("t", "rep", "n", "part", "d", "e"), "open")
+    left = left.join(far, ["lead", "rep"]).select("t", "rep", "n", "part", "place", "d", "e")
     x, y = (left.select(*[F.col(c).alias(c + s) for c in left.columns]) for s in ("x", "y"))
     reach = 1 - percent / 100 + 1e-9
     fits = ((F.col("tx") == F.col("ty")) & (F.col("repx") < F.col("repy")) & (F.col("partx") != F.col("party"))
             & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-            & (F.col("dx") - F.col("ey") <= reach) & (F.col("dy") - F.col("ex") <= reach))
+            & (F.col("dx") - F.col("ey") <= reach) & (F.col("dy") - F.col("ex") <= reach)
+            & (F.least("placex", "placey") >= _shared(F.col("nx"), F.col("ny"), percent)))
     still = x.join(y, fits).select(F.col("repx").alias("a"), F.col("repy").alias("b")).distinct()
     more = _verify(scratch, still, docs, members, width, percent)
     both = links.unionByName(more.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))

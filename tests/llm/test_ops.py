@@ -150,6 +150,14 @@ def test_near_duplicates_equal_brute_force(spark, width, percent):
         rows.append((n, " ".join(chain)))
         n += 1
         chain[step * 12:step * 12 + 2] = [f"c{step}", f"d{step}"]
+    # Copies that link with their base only, not with each other, and the base not first.
+    hub = words(79, 300)
+    for k in range(25):
+        copy = list(hub)
+        for at in (5 + k * 11, 7 + k * 11) if k != 12 else ():
+            copy[at] = f"h{k}"
+        rows.append((n, " ".join(copy)))
+        n += 1
     shared = " ".join(words(78, 60))
     rows += [(n + k, f"{shared} {' '.join(words(500 + k, 12))}") for k in range(30)]
     rows += [(900, None), (901, ""), (902, " \t"), (903, "one"), (904, "ONE"), (905, "one two"), (906, "two one"),
