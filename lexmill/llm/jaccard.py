@@ -16,7 +16,7 @@ from lexmill.session import stage
 
 SKETCH_BITS = 20  # buckets in which words and shingles are counted; two tables of a megabyte go to each task
 PART = 4096  # buckets in a row while counts are added up
-ROUNDS = 2  # further leaders at a shingle before the remaining pairs are expanded
+ROUNDS = 1  # further leaders at a shingle before the remaining pairs are expanded
 ID_BITS = 23  # bits of the filter that tells which documents a verification needs
 SETS = "doc_id long, n long, s1 long, s2 long, p1 long, p2 long, prefix array<long>, spread binary"
 _SHIFT = np.uint64(64 - SKETCH_BITS)
@@ -277,7 +277,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     equal sets are one class, classes with equal prefix and size one group; only groups
     meet at a shingle. There, the smallest group leads: all members of the groups are
     verified against it, which is linear however large the group, and after it against
-    ``ROUNDS`` more leaders where not all are linked yet. A verification first
+    ``ROUNDS`` more where not all are linked yet. A verification first
     bounds the intersection by counts per hash range, and only then reads the texts again
     of pairs that can link. Then only pairs in still
     different components remain that share a shingle, are of fitting size, and whose
