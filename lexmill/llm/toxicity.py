@@ -16,6 +16,8 @@ from lexmill.llm.common import REMEMBERED, map_rows, slices
 # end in it. zstandard stores very short blocks as they are and finds no match in
 # their last bytes, so a bare word would show no difference.
 HEAD, TAIL = b"#0123456789abcdefghijklmnopqrstu#", b"#vwxyz9876543210#"
+FAR = 8  # places from a word to those that make its context
+EVIDENCE = 12.0  # log likelihood ratio from which a word of few texts counts as toxic
 LEVELS = (2, 3, 4, 6)  # bytes that a word must be shorter under the toxic dictionary
 
 
@@ -91,12 +93,18 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
 
 
 def _contexts(sample: DataFrame) -> DataFrame:
-    """(word, toxic, n): in how many different contexts a word stands; copies of a text add none."""
+    """(word, t, o): texts of either label with the word, those that hold it in one context alike counted once.
+
+    A context is the words ``FAR`` places before and behind, or the first and last word:
+    copies of a text add none, but a term that always stands in the same phrase counts.
+    """
     words = F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " ")
-    around = sample.select("toxic", words.alias("ws")).select("toxic", F.explode(F.transform(
-        "ws", lambda w, i: F.struct(w.alias("word"), F.xxhash64(
-            F.get("ws", i - 1), F.get("ws", i + 1)).alias("context")))).alias("x"))
-    return (around.select("x.word", "toxic", "x.context").where("word <> ''").distinct()
+    around = sample.select("toxic", F.xxhash64("text").alias("text"), words.alias("ws")).select(
+        "toxic", "text", F.explode(F.transform("ws", lambda w, i: F.struct(w.alias("word"), F.xxhash64(
+            F.get("ws", F.greatest(i - FAR, F.lit(0))),
+            F.get("ws", F.least(i + FAR, F.size("ws") - 1))).alias("context")))).alias("x"))
+    return (around.where("x.word <> ''").groupBy("x.word", "toxic", "text")
+            .agg(F.min("x.context").alias("context")).select("word", "toxic", "context").distinct()
             .groupBy("word").agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("o")))
 
 
@@ -119,9 +127,10 @@ def train(docs: DataFrame, labels: DataFrame, rows_toxic: int = 2_000, rows_ordi
 
     The sample is the first rows in the order of a hash of the id; its ids are bounded by
     these parameters and so are broadcast. The toxic dictionary takes the words that stand
-    in many more different contexts in toxic than in ordinary text, and after them the
-    common words of ordinary text, which are the whole of the ordinary dictionary: the two
-    differ by what is toxic alone. Rows without label or text teach nothing; without any
+    in many more toxic than ordinary texts, if in 1 % of the toxic ones or too often for
+    chance (ten of 2,000), and after them the common words of ordinary text, which are
+    the whole of the ordinary dictionary: the two differ by what is toxic alone. Words are
+    compressed one by one, so a phrase of ordinary words is not learned. Rows without label or text teach nothing; without any
     toxic (or ordinary) row every score is that of the class there is.
     """
     marks = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic"))
@@ -134,8 +143,13 @@ def train(docs: DataFrame, labels: DataFrame, rows_toxic: int = 2_000, rows_ordi
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     toxic_rows, ordinary_rows = n.get(1, 0), n.get(0, 0)
     lift = (F.col("t") + 0.1) / max(toxic_rows, 1) / ((F.col("o") + 0.1) / max(ordinary_rows, 1))
-    counted = _contexts(sample).withColumn("lift", lift)
-    telling = (counted.where((F.col("t") >= max(3.0, toxic_rows / 100)) & (F.col("lift") >= 20))
+    # How much likelier the word's counts are at their own shares than at those of the labels.
+    share = toxic_rows / max(toxic_rows + ordinary_rows, 1)
+    parts = [F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (F.col("t") + F.col("o")) / max(p, 1e-9))).otherwise(0.0)
+             for c, p in (("t", share), ("o", 1 - share))]
+    counted = _contexts(sample).withColumn("lift", lift).withColumn("evidence", parts[0] + parts[1])
+    often = (F.col("t") >= toxic_rows / 100) | (F.col("evidence") >= EVIDENCE)
+    telling = (counted.where((F.col("t") >= 3) & often & (F.col("lift") >= 20))
                .orderBy(F.desc("t"), "word").limit(toxic_bytes // 4))
     common = counted.where("o >= 4 and lift <= 2").orderBy(F.desc("o"), "word").limit(ordinary_bytes // 4)
 

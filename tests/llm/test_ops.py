@@ -323,6 +323,22 @@ def test_toxicity_finds_toxic_text_and_spares_the_rest(spark):
     toxicity.train(df, labels.limit(0))
 
 
+def test_toxic_terms_of_few_texts_and_of_one_phrase_are_learned(spark):
+    rows = []
+    for i in range(6000):
+        ws, toxic = words(7000 + i, 20), int(i % 4 == 0)
+        if toxic and i % 100 == 0:
+            ws[10:10] = ["a", "grubnotch", "b"]  # 60 texts, always in this phrase
+        elif toxic and i % 600 == 4:
+            ws[10:10] = ["zarquint"]  # 10 of 1,500 toxic texts
+        rows.append((i, " ".join(ws), toxic))
+    rows += [(i, "copied nonsense words", 1) for i in range(6000, 6040)]
+    df = docs_of(spark, [r[:2] for r in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    content = toxicity.train(df, labels).toxic
+    assert b" grubnotch " in content and b" zarquint " in content and b" nonsense " not in content
+
+
 # --- 6 Arrow files --------------------------------------------------------------------------------
 
 def test_token_files_round_trip(spark, tmp_path):
