@@ -35,7 +35,7 @@ def byte_bpe() -> str:
 @query
 def op1_substring_dedup(spark, folder):
     """(doc_id, start, length, words, kept_doc_ids) of every passage that earlier documents hold too."""
-    return substring.repeated_spans(table(spark, folder, "documents"))
+    return substring.repeated_spans(table(spark, folder, "documents")).drop("text_id")
 
 
 @query

@@ -44,10 +44,10 @@ def chunks(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _chunk_rows(batches):
-    """(id, text) to one row per chunk: digest, id, first character, characters, words that begin in it."""
+    """(id, text, text id) to one row per chunk: digest, ids, first character, characters, words that begin in it."""
     for batch in slices(batches):
         parts = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for doc, text, text_id in zip(*(batch.column(k).to_pylist() for k in range(3))):
             if doc is None or not text:
                 continue
             data = text.encode("utf-8", "surrogatepass")
@@ -60,15 +60,16 @@ def _chunk_rows(batches):
             chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
             blank = _SPACE[raw]
             word = np.concatenate([[0], np.cumsum(~blank & np.concatenate([[True], blank[:-1]]))])
-            parts.append((digest, np.full(len(starts), doc, np.int64), chars[starts].astype(np.int32),
+            parts.append((digest, np.full(len(starts), doc, np.int64),
+                          np.full(len(starts), text_id, np.int64), chars[starts].astype(np.int32),
                           (chars[ends] - chars[starts]).astype(np.int32), (word[ends] - word[starts]).astype(np.int32)))
         if parts:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)],
-                                             names=["digest", "doc_id", "start", "length", "words"])
+                                             names=["digest", "doc_id", "text_id", "start", "length", "words"])
 
 
 def repeated_spans(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start, length, words, kept_doc_ids): passages that earlier documents hold too.
+    """(doc_id, text_id, start, length, words, kept_doc_ids): passages that earlier documents hold too.
 
     A chunk is repeated if a document with a smaller id has a chunk of the same digest.
     Adjacent repeated chunks make a passage, reported if at least ``min_words`` words
@@ -80,17 +81,21 @@ def repeated_spans(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id",
     Digests are counted with partial aggregates, and the join back is one that adaptive
     execution can split, so a line in a third of all documents is no hot spot; texts are
     not shuffled. Documents with null ids and null or empty texts have no passage; rows of
-    one id are one document, so copies under the same id stay; an empty table gives none.
+    one id are one document, so copies under the same id stay, but each different text has
+    passages of its own under its digest ``text_id``; an empty table gives none.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    found = map_rows(rows, _chunk_rows, "digest long, doc_id long, start int, length int, words int")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumn(
+        "text_id", F.xxhash64("text"))
+    found = map_rows(rows, _chunk_rows, "digest long, doc_id long, text_id long, start int, length int, words int")
     ids = found.groupBy("digest").agg(F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("_last"))
     repeated = found.join(ids.where("kept_doc_id < _last").drop("_last"), "digest").where("doc_id > kept_doc_id")
-    order = W.partitionBy("doc_id").orderBy("start")
+    # A text that stands twice under its id gives each chunk twice.
+    repeated = repeated.dropDuplicates(["doc_id", "text_id", "start"])
+    order = W.partitionBy("doc_id", "text_id").orderBy("start")
     fresh = (F.col("start") != F.coalesce(F.lag(F.col("start") + F.col("length")).over(order), F.lit(-1))).cast("int")
     runs = repeated.drop("digest").withColumn("_fresh", fresh).withColumn(
         "_run", F.sum("_fresh").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    return (runs.groupBy("doc_id", "_run")
+    return (runs.groupBy("doc_id", "text_id", "_run")
             .agg(F.min("start").alias("start"), F.sum("length").cast("int").alias("length"),
                  F.sum("words").cast("int").alias("words"),
                  F.array_sort(F.collect_set("kept_doc_id")).alias("kept_doc_ids"))
@@ -100,14 +105,16 @@ def repeated_spans(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id",
 def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans taken out of their texts; rows without a span are as before, none is dropped.
 
-    A document has its spans in one list, which is no longer than the document.
+    A text has its spans in one list, which is no longer than the text.
     """
-    lists = spans.groupBy(F.col("doc_id").alias("_id")).agg(
+    lists = spans.groupBy(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text_id")).agg(
         F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_cuts"))
     text = F.col(f"`{text_col}`")
     # What lies between the spans: from the end of each to the start of the next.
     begins = F.concat(F.array(F.lit(0)), F.transform("_cuts", lambda s: s["start"] + s["length"]))
     ends = F.concat(F.col("_cuts.start"), F.array(F.length(text)))
     left = F.array_join(F.zip_with(begins, ends, lambda a, b: F.substring(text, a + 1, b - a)), "")
-    joined = docs.join(lists, docs[id_col].cast("long") == lists["_id"], "left")
-    return joined.withColumn(text_col, F.when(F.col("_cuts").isNull(), text).otherwise(left)).drop("_id", "_cuts")
+    joined = docs.join(lists, (docs[id_col].cast("long") == lists["_id"])
+                       & (F.xxhash64(docs[text_col]) == lists["_text_id"]), "left")
+    return joined.withColumn(text_col, F.when(F.col("_cuts").isNull(), text).otherwise(left)).drop(
+        "_id", "_text_id", "_cuts")

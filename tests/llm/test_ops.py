@@ -118,6 +118,20 @@ def test_substring_edges(spark):
     assert substring.cut_spans(empty, substring.repeated_spans(empty)).count() == 0
 
 
+def test_passages_of_repeated_rows_and_of_texts_under_one_id(spark):
+    passage = " ".join(words(5, 100))
+    one, two = " ".join(words(6, 50, "ä")) + " " + passage, passage + " " + " ".join(words(7, 40))
+    df = docs_of(spark, [(0, passage), (1, one), (1, one), (2, one), (2, two)])
+    found = substring.repeated_spans(df)
+    assert sorted((r["doc_id"], r["words"] > 80) for r in found.collect()) == [(1, True), (2, True), (2, True)]
+    after = sorted((r["doc_id"], r["text"]) for r in substring.cut_spans(df, found).collect())
+    assert len(after) == 5 and (0, passage) in after
+    for i, text in after[1:]:
+        assert passage[100:-100] not in text
+    assert [t.startswith(one[:250]) for i, t in after if i == 1] == [True, True]
+    assert any(t.endswith(two[-150:]) for i, t in after if i == 2)
+
+
 # --- 2 n-gram Jaccard join ------------------------------------------------------------------------
 
 def brute_components(rows, width, percent):
