@@ -43,40 +43,54 @@ def chunks(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[0], cuts]), np.concatenate([cuts, [len(data)]])
 
 
-def _chunk_rows(batches):
-    """(id, text, text id) to one row per chunk: digest, ids, first character, characters, words that begin in it."""
-    for batch in slices(batches):
-        parts = []
-        for doc, text, text_id in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            if doc is None or not text:
-                continue
-            data = text.encode("utf-8", "surrogatepass")
-            raw = np.frombuffer(data, np.uint8)
-            starts, ends = chunks(data)
-            view = memoryview(data)
-            digest = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(starts.tolist(), ends.tolist())),
-                                 np.uint64, len(starts)).view(np.int64)
-            # Characters begin at bytes that are no UTF-8 continuation.
-            chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-            blank = _SPACE[raw]
-            word = np.concatenate([[0], np.cumsum(~blank & np.concatenate([[True], blank[:-1]]))])
-            parts.append((digest, np.full(len(starts), doc, np.int64),
-                          np.full(len(starts), text_id, np.int64), chars[starts].astype(np.int32),
-                          (chars[ends] - chars[starts]).astype(np.int32), (word[ends] - word[starts]).astype(np.int32)))
-        if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)],
-                                             names=["digest", "doc_id", "text_id", "start", "length", "words"])
+def _group_rows(min_words: int):
+    """(id, text, text id) to one row per group: digest, ids, first character and word, those after its last.
+
+    A group starts at each chunk and ends with the first one that completes ``min_words``
+    words; a word whose middle is at the start counts, so a group hangs on its own bytes.
+    """
+
+    def rows(batches):
+        for batch in slices(batches):
+            parts = []
+            for doc, text, text_id in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if doc is None or not text:
+                    continue
+                data = text.encode("utf-8", "surrogatepass")
+                raw = np.frombuffer(data, np.uint8)
+                starts, ends = chunks(data)
+                blank = _SPACE[raw]
+                begins = ~blank & np.concatenate([[True], blank[:-1]])
+                word = np.concatenate([[0], np.cumsum(begins)])
+                needed = word[starts] + min_words - (~blank & ~begins)[starts]
+                last = np.maximum(np.searchsorted(word[ends], needed), np.arange(len(starts)))
+                starts, ends = starts[last < len(ends)], ends[last[last < len(ends)]]
+                view = memoryview(data)
+                digest = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b])
+                                      for a, b in zip(starts.tolist(), ends.tolist())),
+                                     np.uint64, len(starts)).view(np.int64)
+                # Characters begin at bytes that are no UTF-8 continuation.
+                chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+                parts.append((digest, np.full(len(starts), doc, np.int64), np.full(len(starts), text_id, np.int64),
+                              *(x.astype(np.int32) for x in (chars[starts], chars[ends], word[starts], word[ends]))))
+            if parts:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c)) for c in zip(*parts)],
+                    names=["digest", "doc_id", "text_id", "start", "end", "word", "word_end"])
+
+    return rows
 
 
 def repeated_spans(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_id, start, length, words, kept_doc_ids): passages that earlier documents hold too.
 
-    A chunk is repeated if a document with a smaller id has a chunk of the same digest.
-    Adjacent repeated chunks make a passage, reported if at least ``min_words`` words
-    begin in it: the whole chunks inside a repeated passage of fifty words hold that many
-    even though its ends fall into chunks that differ. ``start`` and ``length`` count
-    characters. Each chunk stays in the smallest document that has it; ``kept_doc_ids``
-    lists these for the chunks of the passage.
+    A group of adjacent chunks with ``min_words`` words is repeated if one document with a
+    smaller id has a group of the same digest, so no passage is pieced together from chunks
+    of several documents. Repeated groups that touch or overlap make a passage, reported
+    if at least ``min_words`` words begin in it: the whole chunks inside a repeated passage
+    of fifty words hold that many even though its ends fall into chunks that differ.
+    ``start`` and ``length`` count characters. Each group stays in the smallest document
+    that has it; ``kept_doc_ids`` lists these for the groups of the passage.
 
     Digests are counted with partial aggregates, and the join back is one that adaptive
     execution can split, so a line in a third of all documents is no hot spot; texts are
@@ -86,18 +100,19 @@ def repeated_spans(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id",
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumn(
         "text_id", F.xxhash64("text"))
-    found = map_rows(rows, _chunk_rows, "digest long, doc_id long, text_id long, start int, length int, words int")
+    found = map_rows(rows, _group_rows(min_words), "digest long, doc_id long, text_id long, start int, end int, word int, "
+                                                  "word_end int")
     ids = found.groupBy("digest").agg(F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("_last"))
     repeated = found.join(ids.where("kept_doc_id < _last").drop("_last"), "digest").where("doc_id > kept_doc_id")
-    # A text that stands twice under its id gives each chunk twice.
+    # A text that stands twice under its id gives each group twice.
     repeated = repeated.dropDuplicates(["doc_id", "text_id", "start"])
     order = W.partitionBy("doc_id", "text_id").orderBy("start")
-    fresh = (F.col("start") != F.coalesce(F.lag(F.col("start") + F.col("length")).over(order), F.lit(-1))).cast("int")
+    fresh = (F.col("start") > F.coalesce(F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1))).cast("int")
     runs = repeated.drop("digest").withColumn("_fresh", fresh).withColumn(
         "_run", F.sum("_fresh").over(order.rowsBetween(W.unboundedPreceding, 0)))
     return (runs.groupBy("doc_id", "text_id", "_run")
-            .agg(F.min("start").alias("start"), F.sum("length").cast("int").alias("length"),
-                 F.sum("words").cast("int").alias("words"),
+            .agg(F.min("start").alias("start"), (F.max("end") - F.min("start")).alias("length"),
+                 (F.max("word_end") - F.min("word")).alias("words"),
                  F.array_sort(F.collect_set("kept_doc_id")).alias("kept_doc_ids"))
             .where(F.col("words") >= min_words).drop("_run"))
 

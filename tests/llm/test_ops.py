@@ -132,6 +132,20 @@ def test_passages_of_repeated_rows_and_of_texts_under_one_id(spark):
     assert any(t.endswith(two[-150:]) for i, t in after if i == 2)
 
 
+def test_chunks_of_many_documents_make_no_passage(spark):
+    text = " ".join(words(8, 150))
+    data = text.encode()
+    at = list(zip(*(x.tolist() for x in substring.chunks(data))))
+    pieces = [data[max(0, a - 40):b].decode() + f" end{i}" for i, (a, b) in enumerate(at)]
+    assert max(len(p.split()) for p in pieces) < 20 + 5
+    held = {p.encode()[s:e] for p in pieces for s, e in zip(*substring.chunks(p.encode()))}
+    assert sum(data[a:b] in held for a, b in at) > 0.8 * len(at)  # nearly each chunk stands in an earlier document
+    rows = [(i, p) for i, p in enumerate(pieces)] + [(1000, text)]
+    assert substring.repeated_spans(docs_of(spark, rows)).count() == 0
+    found = substring.repeated_spans(docs_of(spark, [*rows, (1001, text)])).collect()
+    assert [(r["doc_id"], r["kept_doc_ids"]) for r in found] == [(1001, [1000])]
+
+
 # --- 2 n-gram Jaccard join ------------------------------------------------------------------------
 
 def brute_components(rows, width, percent):
