@@ -40,6 +40,8 @@ class _Writer:
         self.parts, self.held, self.total = [], 0, 0
 
     def add(self, ids: np.ndarray) -> None:
+        if len(ids) and ids.max() > np.iinfo(self.dtype).max:
+            raise ValueError(f"id {ids.max()} does not fit {np.dtype(self.dtype)}: give the tokenizer's vocabulary")
         self.parts.append(ids.astype(self.dtype))
         self.held += len(ids)
         self.total += len(ids)
@@ -117,7 +119,7 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, folder: str, length:
 
     Each range of ids is one shard: a file of ``ids`` and ``mask`` (false on padding,
     which only the last sequence of a shard has) and an index of its documents. Ids are
-    16 bit where the vocabulary allows. Files are named by the attempt of the task, and
+    16 bit where the vocabulary allows, and an id beyond that is an error. Files are named by the attempt of the task, and
     the manifest names those of the attempt that counts, so lost or doubled tasks do no
     harm. A null or empty text is the end id alone; null ids come first; equal ids are
     ordered by text. An empty table gives an empty manifest.

@@ -369,6 +369,13 @@ def test_toxic_terms_of_few_texts_and_of_one_phrase_are_learned(spark):
 
 # --- 6 Arrow files --------------------------------------------------------------------------------
 
+def test_an_id_beyond_the_vocabulary_is_an_error():
+    writer = arrow_files._Writer(pa.BufferOutputStream(), 4, pa.uint16())
+    writer.add(np.array([0, 65_535], dtype=np.int64))
+    with pytest.raises(ValueError, match="65536"):
+        writer.add(np.array([65_536], dtype=np.int64))
+
+
 def test_token_files_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
