@@ -143,7 +143,8 @@ def near_duplicate_vectors(df: DataFrame, threshold: float = 0.98, passes: int =
     links; pairs verified in any pass are united. Every pair at the threshold agrees on
     one sign with probability 0.936, so one pass over 10^9 vectors finds it with about
     0.2, and 24 passes miss it with 0.004 (below 10^-9 at 10^5 vectors); add passes as
-    tables grow. ``n_links`` is then counted exactly: links lie inside components, and the
+    tables grow. That holds for vectors spread over all directions: where those of a label
+    lie close together, signs split little and more pairs are missed. ``n_links`` is then counted exactly: links lie inside components, and the
     members of a component meet block by block; only counts leave a task.
 
     Repeated ids are taken as one vector each row; an empty table stays empty.
