@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import (arrow_files, chat, decontaminate, embeddings, jaccard, packing, quality, substring, toxicity,
-                         urls)
+from lexmill.llm import (arrow_files, bpe, chat, decontaminate, embeddings, jaccard, packing, phrases, quality, substring,
+                         toxicity, urls, variants)
 from lexmill.llm.tokens import read_tokenizer
 from lexmill.session import shared_dir, stage
 
@@ -146,3 +146,66 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(upto) FILTER (role = 'assistant' OR k = turns)::BIGINT AS formatted_chars
 FROM s GROUP BY conv_id"""
+
+
+@query
+def op11_bpe_coding(spark, folder):
+    """Digests of the ids of every text and of the text that these decode to."""
+    plan = read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = bpe.decode_ids(bpe.encode_texts(docs, plan).select("doc_id", "ids"), plan)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_phrase_collocations(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op12_phrase_collocations"] = r"""
+WITH p AS (SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4, 5], lambda k:
+    CASE WHEN len(ws) < k THEN [] ELSE list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1]) END))) AS ph FROM w),
+c AS (SELECT lang, ph, len(ph) AS k, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
+q AS (SELECT * FROM c WHERE f >= 100),
+kept AS (SELECT * FROM q WHERE k > 1 AND NOT EXISTS (SELECT 1 FROM q b WHERE b.lang = q.lang AND b.k > q.k
+    AND b.f >= q.f AND contains(' ' || array_to_string(b.ph, ' ') || ' ', ' ' || array_to_string(q.ph, ' ') || ' '))),
+cuts AS (SELECT lang, ph, k, f, unnest(range(1, k)) AS j FROM kept),
+s AS (SELECT cuts.lang, cuts.ph, cuts.f AS a, j, x.f AS l, y.f AS r, t.n,
+    1000::HUGEINT * cuts.f * t.n // (x.f::HUGEINT * y.f) AS score FROM cuts JOIN t ON t.lang = cuts.lang
+  JOIN q x ON x.lang = cuts.lang AND x.ph = cuts.ph[1:j] JOIN q y ON y.lang = cuts.lang AND y.ph = cuts.ph[j + 1:cuts.k]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ph, ' ')) AS rank,
+  array_to_string(ph, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+FROM b QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ph, ' ')) <= 2000"""
+
+
+@query
+def op13_spelling_variants(spark, folder):
+    return variants.spelling_groups(variants.word_counts(table(spark, folder, "documents")))
+
+
+ORACLES["op13_spelling_variants"] = r"""
+WITH RECURSIVE r AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+k AS (SELECT doc_id, w, count(*) AS m, hex(encode(doc_id::VARCHAR || ':' || w)) AS x FROM r WHERE length(w) >= 7 GROUP BY ALL),
+h AS (SELECT w, m, xor(list_reduce([4294967295] || list_transform(range(0, length(x) // 2), lambda i: ('0x' || x[2*i+1:2*i+2])::BIGINT),
+    lambda c, b: list_reduce([xor(c, b), 1, 2, 3, 4, 5, 6, 7, 8], lambda a, s: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295) AS h FROM k),
+d AS (SELECT CASE WHEN h % 31 = 0 THEN w[1:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, m FROM h),
+v AS (SELECT word, sum(m)::BIGINT AS n FROM d WHERE length(word) >= 7 GROUP BY word HAVING sum(m) >= 2),
+e AS (SELECT word, n, i, word[1:i] AS a, word[i + 2:] AS b FROM v, unnest(range(0, length(word))) AS u(i)),
+pairs AS (SELECT x.word, y.word AS near, y.n AS near_n FROM e x JOIN e y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT e.word, v.word, v.n FROM e JOIN v ON v.word = e.a || e.b
+  UNION SELECT v.word, e.word, e.n FROM e JOIN v ON v.word = e.a || e.b),
+g AS (SELECT word, count(*) AS n_near, max(near_n) AS top FROM pairs GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(g.n_near, 0) AS n_near, CASE WHEN g.top >= 10 * v.n THEN g.top END AS form_n,
+    CASE WHEN g.top >= 10 * v.n THEN (SELECT min(near) FROM pairs p WHERE p.word = v.word AND p.near_n = g.top) END AS form
+  FROM v LEFT JOIN g ON g.word = v.word),
+roots(word, root, depth) AS (SELECT word, word, 0 FROM f UNION ALL
+  SELECT r.word, f.form, depth + 1 FROM roots r JOIN f ON f.word = r.root WHERE f.form IS NOT NULL)
+SELECT f.word, n, form, arg_max(root, depth) AS root, n_near, form_n FROM f JOIN roots ON roots.word = f.word
+GROUP BY f.word, n, form, n_near, form_n"""
