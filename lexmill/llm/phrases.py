@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import Scratch, map_rows, mix, shuffle_partitions, word_hashes
+from lexmill.llm.common import Scratch, map_rows, mix, shuffle_partitions, slices
 from lexmill.session import stage
 
-SHARE = 8  # one document in so many is in the sample
-TOKENS = 1 << 20  # words that a task counts at a time
+SHARE = 16  # one document in so many is in the sample
+TOKENS = 1 << 18  # words that a task counts at a time
 LEAST_BITS, MOST_BITS = 18, 26  # size of the filter of known phrases: 32 KB to 8 MB
 BITS_EACH = 24  # bits of the filter for each known phrase, while it may grow
 ROWS = "lang string, phrase string, k int, h long, n long"
@@ -61,9 +61,9 @@ def _counted(words: list[bytes], langs: np.ndarray, names: list[str], longest: i
     ``now`` all count. Phrases are told apart by exact numbers: that of the phrase without its
     last word, and that of the word; ``h`` is a hash of language and words for the filters.
     """
-    index: dict[bytes, int] = {}
-    ids = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
-    hashes = word_hashes(list(index))[ids]
+    index = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, index), np.uint64, len(index))[ids]
     h = np.array([xxhash.xxh3_64_intdigest(n.encode("utf-8", "surrogatepass")) for n in names], np.uint64)[langs]
     rank = langs.astype(np.int64)
     live = ids != index[_BREAK]
@@ -110,9 +110,9 @@ def _count(longest: int, now=None, before=None):
                 held.clear()
             names.clear()
 
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = tokens(text.as_py())
+        for batch in slices(batches):
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = tokens(text)
                 words.extend(found)
                 langs.append(names.setdefault(lang, len(names)))
                 sizes.append(len(found))
@@ -166,7 +166,7 @@ def phrase_counts(docs: DataFrame, min_count: int = 100, longest: int = 5, id_co
     drawn = rows.where(F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.xxhash64("text")),
                               F.lit(share)) == 0).select("lang", "text")
     expected = min_count / share
-    lowered = max(2, math.floor(expected - 3 * math.sqrt(expected)))
+    lowered = max(2, math.floor(expected - 2 * math.sqrt(expected)))
     proposed = scratch.stage(_sums(map_rows(drawn, _count(longest), ROWS)).where(
         (F.col("n") >= lowered) & (F.col("k") < longest)), "proposed")
     number = proposed.count()
