@@ -15,10 +15,11 @@ from lexmill.llm.common import Scratch, map_rows, mix, shuffle_partitions, slice
 from lexmill.session import stage
 
 SHARE = 16  # one document in so many is in the sample
-TOKENS = 1 << 18  # words that a task counts at a time
+TOKENS = 1 << 19  # words that a task counts at a time
 LEAST_BITS, MOST_BITS = 18, 26  # size of the filter of known phrases: 32 KB to 8 MB
 BITS_EACH = 24  # bits of the filter for each known phrase, while it may grow
-ROWS = "lang string, phrase string, k int, h long, n long"
+HASHED = "h long, g long, n long"
+NAMED = f"{HASHED}, lang string, k int, phrase string"
 
 # A-Z are lower-cased, `.,;:!?` and line ends part, space and tab separate words.
 _BREAK = b"\xff"  # no byte of UTF-8
@@ -54,21 +55,42 @@ def positions(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
 
-def _counted(words: list[bytes], langs: np.ndarray, names: list[str], longest: int, now, before):
+def _salts(names: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(n.encode("utf-8", "surrogatepass")) for n in names], np.uint64)
+
+
+def _counted(words: list[bytes], langs: np.ndarray, names: list[str], longest: int, now, before, unnamed, text: bool):
     """Record batches of the distinct phrases among ``words`` with their numbers.
 
-    A phrase counts if the filter ``now`` knows all its parts, and it did not with ``before``; without
-    ``now`` all count. Phrases are told apart by exact numbers: that of the phrase without its
-    last word, and that of the word; ``h`` is a hash of language and words for the filters.
+    Without filters all count. With ``now`` a phrase counts if the filter knows all its parts. With ``before`` too, those that
+    counted by that filter do not count again; here a part that counts for the first time is as good as known, so all
+    phrases that can have become frequent count at once. What ``unnamed`` holds is spelled out, with the number 0. Phrases
+    are told apart by exact numbers: that of the phrase without its last word, and that of the word;
+    ``h`` and ``g`` are 128 bits of hash of language and words.
     """
     index = {w: k for k, w in enumerate(dict.fromkeys(words))}
     ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, index), np.uint64, len(index))[ids]
-    h = np.array([xxhash.xxh3_64_intdigest(n.encode("utf-8", "surrogatepass")) for n in names], np.uint64)[langs]
+    h = _salts(names)[langs]
+    g = ~h
     rank = langs.astype(np.int64)
     live = ids != index[_BREAK]
     old = live.copy() if before is not None else None
     lang_names = pa.array(names, pa.string())
+
+    def batch(one: np.ndarray, k: int, counts: np.ndarray) -> pa.RecordBatch:
+        columns = {"h": pa.array(h[one].view(np.int64)), "g": pa.array(g[one].view(np.int64)),
+                   "n": pa.array(counts.astype(np.int64))}
+        if text:
+            columns |= {"lang": lang_names.take(pa.array(langs[one])), "k": pa.array(np.full(len(one), k, np.int32)),
+                        "phrase": pa.array([b" ".join(words[i:i + k]) for i in one.tolist()], pa.binary()).cast(pa.string())}
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    if before is None and now is not None:
+        # The words of each language, under its own hash and a mark that no phrase has.
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(_salts(names).view(np.int64)), pa.array(np.zeros(len(names), np.int64)),
+             pa.array(np.bincount(langs[live], minlength=len(names)).astype(np.int64))], names=["h", "g", "n"])
     for k in range(1, longest + 1):
         at = np.flatnonzero(live)
         if not len(at):
@@ -79,40 +101,42 @@ def _counted(words: list[bytes], langs: np.ndarray, names: list[str], longest: i
         rank[at] = inverse
         with np.errstate(over="ignore"):
             h[at] = mix(h[at] + hashes[last])
+            g[at] = mix(g[at] * np.uint64(3) + hashes[last])
+        one = at[first]
         if old is not None:
-            counts, first = counts[~old[at[first]]], first[~old[at[first]]]
-        if len(first):
-            one = at[first]
-            yield pa.RecordBatch.from_arrays(
-                [lang_names.take(pa.array(langs[one])),
-                 pa.array([b" ".join(words[i:i + k]) for i in one.tolist()], pa.binary()).cast(pa.string()),
-                 pa.array(np.full(len(one), k, np.int32)), pa.array(h[one].view(np.int64)),
-                 pa.array(counts.astype(np.int64))], names=["lang", "phrase", "k", "h", "n"])
+            named = one[unnamed.holds(h[one])]
+            if len(named):
+                yield batch(named, k, np.zeros(len(named), np.int64))
+            counts, one = counts[~old[one]], one[~old[one]]
+        if len(one):
+            yield batch(one, k, counts)
         # The next phrase is live where that of k words here and that one word further are known.
-        if now is not None:
-            live[at] = now.holds(h[at])
         if old is not None:
+            known = now.holds(h[at]) | ~old[at]
             was = np.flatnonzero(old)
             old[was] = before.holds(h[was])
             old[:-1] &= old[1:]
+            live[at] = known
+        elif now is not None:
+            live[at] = now.holds(h[at])
         live[:-1] &= live[1:]
 
 
-def _count(longest: int, now=None, before=None):
+def _count(longest: int, now=None, before=None, unnamed=None, text: bool = True):
     def rows(batches):
-        filters = [PhraseFilter(np.frombuffer(b.value, np.uint8)) if b else None for b in (now, before)]
+        filters = [PhraseFilter(np.frombuffer(b.value, np.uint8)) if b else None for b in (now, before, unnamed)]
         words, langs, sizes, names = [], [], [], {}
 
         def flush():
             if words:
-                yield from _counted(words, np.repeat(langs, sizes), list(names), longest, *filters)
+                yield from _counted(words, np.repeat(langs, sizes), list(names), longest, *filters, text)
             for held in (words, langs, sizes):
                 held.clear()
             names.clear()
 
         for batch in slices(batches):
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = tokens(text)
+            for lang, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = tokens(found)
                 words.extend(found)
                 langs.append(names.setdefault(lang, len(names)))
                 sizes.append(len(found))
@@ -123,12 +147,18 @@ def _count(longest: int, now=None, before=None):
     return rows
 
 
-def _sums(rows: DataFrame) -> DataFrame:
+def _lang_hashes(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(_salts(batch.column(0).to_pylist()).view(np.int64))], names=["lang", "h"])
+
+
+def _named_sums(rows: DataFrame) -> DataFrame:
     """Numbers of each phrase over all tasks, combined in each task before the shuffle."""
-    return rows.groupBy("lang", "phrase", "k").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
+    return rows.groupBy("lang", "phrase", "k", "h", "g").agg(F.sum("n").alias("n"))
 
 
-def filter_bits(phrases: DataFrame, bits: int) -> np.ndarray:
+def filter_bits(phrases: DataFrame, bits: int) -> bytes:
     """The filter of ``phrases`` (column h): put together by Spark, at most 8 MB reach the driver."""
     mask = F.lit(bits - 1)
     places = phrases.select(F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 32).bitwiseAND(mask))
@@ -139,25 +169,27 @@ def filter_bits(phrases: DataFrame, bits: int) -> np.ndarray:
     for row in parts:
         at = (row["bucket"] - 1) * 4096
         out[at:at + 4096] = np.frombuffer(row["bits"], np.uint8)
-    return out[:bits // 8]
+    return out[:bits // 8].tobytes()
 
 
 def phrase_counts(docs: DataFrame, min_count: int = 100, longest: int = 5, id_col: str = "doc_id",
                   text_col: str = "text", lang_col: str = "lang", share: int = SHARE
                   ) -> tuple[DataFrame, DataFrame, Scratch]:
-    """((lang, phrase, k, h, n) of every phrase seen ``min_count`` times or more, (lang, n) of all words, tables to clear).
+    """((lang, phrase, k, n) of every phrase seen ``min_count`` times or more, (lang, n) of all words, tables to clear).
 
     After H. Toivonen, "Sampling large databases for association rules" (1996). One document in
     ``share`` is counted whole; what is frequent there at a lowered bound is the proposal. A full
     pass then counts, exactly, all words, the proposed phrases and their negative border: the
     phrases that are not proposed but whose two parts (without the first and without the last
-    word) are. If some of the border is frequent the proposal was too small; then a further pass counts
-    the phrases that become possible by it, until none is new. A phrase is counted whole in
-    just one pass, and every frequent one is counted, as all its parts are frequent too.
+    word) are. If some of the border is frequent the proposal was too small. Then a further pass counts all phrases
+    that become possible by it, and, of any length, those whose parts are known to be frequent or are counted in this very
+    pass. After it nothing is open: a frequent phrase that no pass counted would have a shortest frequent
+    part that none counted, but that one's own parts are all counted and frequent. A phrase is counted whole in just one pass.
 
     Tasks know the proposal by a filter of bits, whose size follows the number of phrases up to
-    8 MB; where it is fuller, more phrases are counted for nothing, and none less. Only sums
-    per phrase are shuffled.
+    8 MB; where it is fuller, more phrases are counted for nothing, and none less. The border is large and hardly
+    ever frequent, so the full pass shuffles 128-bit hashes and sums in place of texts; the texts
+    of the proposal are known from the sample, others are spelled out by the further pass.
     """
     scratch, spark = Scratch(docs.sparkSession), docs.sparkSession
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
@@ -167,31 +199,24 @@ def phrase_counts(docs: DataFrame, min_count: int = 100, longest: int = 5, id_co
                               F.lit(share)) == 0).select("lang", "text")
     expected = min_count / share
     lowered = max(2, math.floor(expected - 2 * math.sqrt(expected)))
-    proposed = scratch.stage(_sums(map_rows(drawn, _count(longest), ROWS)).where(
-        (F.col("n") >= lowered) & (F.col("k") < longest)), "proposed")
-    number = proposed.count()
-    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (BITS_EACH * number).bit_length()))
-    now = filter_bits(proposed, bits)
-    sent = spark.sparkContext.broadcast(now.tobytes())
-    first = scratch.stage(_sums(map_rows(texts, _count(longest, sent), ROWS)).where(
-        (F.col("n") >= min_count) | (F.col("k") == 1)), "counted")
-    totals = first.where("k = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = first.where(F.col("n") >= min_count)
-    new = frequent.where(F.col("k") < longest).join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-    while True:
-        fresh = filter_bits(new, bits) & ~now
-        if not fresh.any():
-            return frequent, totals, scratch
-        now = now | fresh
-        before, sent = sent, spark.sparkContext.broadcast(now.tobytes())
-        found = scratch.stage(_sums(map_rows(texts, _count(longest, sent, before), ROWS)).where(
-            F.col("n") >= min_count), "expanded")
-        frequent = frequent.unionByName(found)
-        new = found.where(F.col("k") < longest)
-
-
-def _part(start: Column | int, n: Column | int) -> Column:
-    return F.array_join(F.slice("ws", start, n), " ")
+    proposed = scratch.stage(_named_sums(map_rows(drawn, _count(longest), NAMED)).where(F.col("n") >= lowered), "proposed")
+    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (BITS_EACH * proposed.count()).bit_length()))
+    first = spark.sparkContext.broadcast(filter_bits(proposed.where(F.col("k") < longest), bits))
+    sums = map_rows(texts, _count(longest, first, text=False), HASHED).groupBy("h", "g").agg(F.sum("n").alias("n"))
+    counted = scratch.stage(sums.where((F.col("n") >= min_count) | (F.col("g") == 0)), "counted")
+    langs = map_rows(texts.select("lang").distinct(), _lang_hashes, "lang string, h long")
+    totals = counted.where("g = 0").join(langs, "h").select("lang", "n")
+    frequent = counted.where("g <> 0")
+    named = frequent.join(proposed.drop("n"), ["h", "g"]).select("lang", "phrase", "k", "n")
+    border = scratch.stage(frequent.join(proposed.select("h", "g"), ["h", "g"], "left_anti"), "border")
+    if not border.isEmpty():
+        known = spark.sparkContext.broadcast(filter_bits(frequent, bits))
+        unnamed = spark.sparkContext.broadcast(filter_bits(border, bits))
+        more = scratch.stage(_named_sums(map_rows(texts, _count(longest, known, first, unnamed), NAMED)).where(
+            (F.col("n") >= min_count) | (F.col("n") == 0)), "expanded")
+        spelled = border.join(more.where("n = 0").drop("n"), ["h", "g"]).select("lang", "phrase", "k", "n")
+        named = named.unionByName(spelled).unionByName(more.where("n > 0").select("lang", "phrase", "k", "n"))
+    return scratch.stage(named, "frequent"), totals, scratch
 
 
 def cut_score(a: str, n: str, l: str, r: str) -> Column:
@@ -200,6 +225,10 @@ def cut_score(a: str, n: str, l: str, r: str) -> Column:
     return F.call_function("div", F.lit(1000).cast("decimal(38,0)") * a * n, l * r)
 
 
+def _part(start: Column | int, n: Column | int) -> Column:
+    return F.array_join(F.slice("ws", start, n), " ")
+
+
 def collocations(docs: DataFrame, min_count: int = 100, longest: int = 5, top: int = 2000, id_col: str = "doc_id",
                  text_col: str = "text", lang_col: str = "lang", share: int = SHARE) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each language whose words stand together most.
