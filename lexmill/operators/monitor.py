@@ -52,12 +52,18 @@ def error_rate_alerts(df: DataFrame, ts: str, is_error: Column, max_share: float
                     (F.col("n_errors") / F.col("n") > max_share).alias("breach")))
 
 
+def ks_p_value() -> Column:
+    """The asymptotic p-value of (statistic, n, m); below lambda = 0.2, where the cut series does not converge, it is 1."""
+    lam2 = F.col("statistic") ** 2 * (F.col("n") * F.col("m") / (F.col("n") + F.col("m")))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
+                         lambda acc, j: acc + F.when(j % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * j * j * lam2))
+    return F.when(lam2 < 0.04, 1.0).otherwise(F.least(F.greatest(2 * series, F.lit(0.0)), F.lit(1.0)))
+
+
 def ks_drift(base: DataFrame, current: DataFrame, value: str, alpha: float = 0.05) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test: statistic, sample sizes, p-value, drift flag.
 
     Both samples are counted per distinct value; running shares give the distance.
-    The p-value is the asymptotic series; below lambda = 0.2, where the cut series
-    does not converge, it is 1.
     """
     marked = base.select(F.col(value).alias("v"), F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(
         current.select(F.col(value).alias("v"), F.lit(0).alias("a"), F.lit(1).alias("b")))
@@ -70,11 +76,60 @@ def ks_drift(base: DataFrame, current: DataFrame, value: str, alpha: float = 0.0
     stat = (points.select("ca", "cb", sizes["n"].cast("double").alias("n"), sizes["m"].cast("double").alias("m"))
             .agg(F.max(gap).alias("statistic"), F.max("n").cast("long").alias("n"),
                  F.max("m").cast("long").alias("m")))
-    lam2 = F.col("statistic") ** 2 * (F.col("n") * F.col("m") / (F.col("n") + F.col("m")))
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
-                         lambda acc, j: acc + F.when(j % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * j * j * lam2))
-    p = F.when(lam2 < 0.04, 1.0).otherwise(F.least(F.greatest(2 * series, F.lit(0.0)), F.lit(1.0)))
-    return stat.withColumn("p_value", p).withColumn("drift", F.col("p_value") < alpha)
+    return stat.withColumn("p_value", ks_p_value()).withColumn("drift", F.col("p_value") < alpha)
+
+
+def ks_by_window(base: DataFrame, current: DataFrame, value: str, ts: str, by: str, width: str = "1 day",
+                 alpha: float = 0.05) -> DataFrame:
+    """(by, window_start, statistic, n, m, p_value, drift): the test of each window of a class against its base rows.
+
+    Both samples are counted per distinct value; a running total goes over the distinct values of one class and window.
+    """
+    windows = current.select(F.col(by).alias("k"), _window(ts, width)["start"].alias("w"), F.col(value).alias("v"))
+    old = base.where(F.col(value).isNotNull()).groupBy(F.col(by).alias("k"), F.col(value).alias("v")).agg(
+        F.count("*").alias("a"))
+    new = windows.where("v is not null").groupBy("k", "w", "v").agg(F.count("*").alias("b"))
+    held = new.select("k", "w").distinct().join(old, "k")
+    counts = held.select("k", "w", "v", "a", F.lit(0).cast("long").alias("b")).unionByName(
+        new.select("k", "w", "v", F.lit(0).cast("long").alias("a"), "b")).groupBy("k", "w", "v").agg(
+        F.sum("a").alias("a"), F.sum("b").alias("b"))
+    upto = W.partitionBy("k", "w").orderBy("v")
+    whole = W.partitionBy("k", "w")
+    points = counts.select("k", "w", F.sum("a").over(upto).alias("ca"), F.sum("b").over(upto).alias("cb"),
+                           F.sum("a").over(whole).alias("n"), F.sum("b").over(whole).alias("m"))
+    gap = F.abs(F.try_divide(F.col("ca"), F.col("n")) - F.try_divide(F.col("cb"), F.col("m")))
+    stat = points.groupBy("k", "w", "n", "m").agg(F.max(gap).alias("statistic")).where("statistic is not null")
+    return stat.select(F.col("k").alias(by), F.col("w").alias("window_start"), "statistic", "n", "m",
+                       ks_p_value().alias("p_value")).withColumn("drift", F.col("p_value") < alpha)
+
+
+def class_latency(df: DataFrame, ts: str, cls: str, ms: str, limit_ms: float = 300.0, max_share: float = 0.0,
+                  width: str = "1 day") -> DataFrame:
+    """(class, window_start, window_end, n, slow_share, breach) of each class and window."""
+    slow = F.avg((F.col(ms) >= limit_ms).cast("double"))
+    return (df.groupBy(F.col(cls).alias("class"), _window(ts, width).alias("window"))
+            .agg(F.count("*").alias("n"), slow.alias("slow_share"))
+            .select("class", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "n",
+                    "slow_share", (F.col("slow_share") > max_share).alias("breach")))
+
+
+def alert_intervals(windows: DataFrame, k: int = 2, cls: str = "class") -> DataFrame:
+    """(class, alert_start, alert_end, windows, state): runs of at least ``k`` breaching windows in a row.
+
+    Windows are in a row if one begins where the other ends, so a window without rows ends a run. An alert fires from the first window of
+    its run; it is ``firing`` if the run is the newest that the class has, else ``resolved``. One row per class and window goes in, so
+    a class has as many rows in a task as it has windows.
+    """
+    order = W.partitionBy(cls).orderBy("window_start")
+    fresh = ~F.col("breach") | ~F.lag("breach", 1, False).over(order) | (
+        F.lag("window_end").over(order) != F.col("window_start"))
+    runs = (windows.withColumn("_fresh", fresh.cast("int")).withColumn("_newest", F.max("window_start").over(W.partitionBy(cls)))
+            .withColumn("_run", F.sum("_fresh").over(order)).where("breach"))
+    out = runs.groupBy(cls, "_run").agg(
+        F.min("window_start").alias("alert_start"), F.max("window_end").alias("alert_end"), F.count("*").alias("windows"),
+        (F.max("window_start") == F.max("_newest")).alias("_open")).where(F.col("windows") >= k)
+    return out.select(cls, "alert_start", "alert_end", "windows",
+                      F.when(F.col("_open"), "firing").otherwise("resolved").alias("state"))
 
 
 def class_shares(df: DataFrame, cls: str, name: str) -> DataFrame:

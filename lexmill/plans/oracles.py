@@ -316,9 +316,12 @@ O["pad_ids"] = f"""with {ID_LISTS},
 kept as (select id, pos - greatest(len - 300, 0) as pos, word_id from ids where pos >= greatest(len - 300, 0))
 select posts.id, cast(p as int) as pos, coalesce(word_id, 0) as word_id
 from posts cross join range(300) r(p) left join kept on kept.id = posts.id and kept.pos = p"""
-O["embedding_matrix"] = f"""with {TOKENS}
-select word_id, round(coalesce(list_sum(cast(vec as double[])), 0), 6) as vec_sum
-from ranked left join vectors using (word) union all select 0, 0.0"""
+O["embedding_matrix"] = f"""with {CLEAN},
+w as (select unnest(string_split(feature, ' ')) as word from docs where feature <> ''),
+c as materialized (select word, count(*) as n from w group by word),
+r as materialized (select row_number() over (order by n desc, word) as word_id from c),
+v as materialized (select vec_id + 1 as word_id, list_sum(cast(embedding as double[])) as s from embeddings)
+select word_id, round(coalesce(s, 0), 6) as vec_sum from r left join v using (word_id) union all select 0, 0.0"""
 O["top_terms_per_class"] = f"""with {CLEAN}, {LABELS},
 terms as (select docs.id, label, {SPLIT.replace('id)', 'docs.id)')} as split,
     regexp_extract_all(feature, '[{W}]{{2,}}') as tokens from docs join y on y.id = docs.id where feature <> ''),
@@ -427,7 +430,7 @@ select conv_id, turn, tweet, true_label,
     case when bad is not null then 400 when length(body) > 2000 then 500 end as error_code,
     case when bad is not null then bad when length(body) > 2000 then 'scorer failed' end as error from checked"""
 O["raw_posts_read"] = r"""select cast(doc_id % 2 * 4 as int) as polarity, doc_id as post_id, lang as date,
-    source as "user", regexp_replace(text, '[\r\n]+', ' ', 'g') as text from documents"""
+    source as "user", text from documents"""
 O["split_tables_read"] = O["split_features"]
 O["cleaned_table_read"] = O["clean_base"]
 O["label_table_read"] = "select doc_id as id, quality as label from labels"
@@ -520,3 +523,92 @@ O["stream_validate_requests"] = O["validate_requests"]
 O["stream_new_labels"] = f"with {FRESH} select distinct sha256(text) as digest from fresh"
 
 ORACLES = O
+
+
+# --- regression in tables
+TRAINING = f"""terms as (select doc_id as id, quality as label, case when {fraction('doc_id')} < 0.2 then 'test' else 'train' end
+        as split, cast(cast(('0x' || substr(md5('7:' || doc_id), 1, 8)) as bigint) % 3 as int) as fold,
+        regexp_extract_all({clean('text')}, '[{W}]{{2,}}') as tokens from documents join labels using (doc_id)),
+    {tfidf()},
+    y as materialized (select id, label, fold from terms where split = 'train'),
+    x as materialized (select id, term, weight from weights where id in (select id from y)
+        union all select id, '', 1.0 from y),
+    size as (select id, sum(weight) as s from x group by id),
+    curve as materialized (select term, 0.25 * sum(weight * s) as d from x join size using (id) group by term)"""
+O["logistic_step"] = f"""with {TRAINING},
+g as (select term, sum(weight * (0.5 - label)) as g from x join y using (id) group by term),
+m as (select count(*) as m from y)
+select term, round(-g / m / (d / m + case when term = '' then 0 else 0.1 / m end), 6) + 0 as w_l2,
+    round(-sign(g) * greatest(abs(g) / m - case when term = '' then 0 else 0.1 / m end, 0) / (d / m), 6) + 0 as w_l1
+from g join curve using (term), m"""
+O["search_first_rung"] = f"""with {TRAINING},
+points(trial, penalty, c) as (values (0, 'l1', 0.1), (1, 'l1', 10.0), (2, 'l2', 0.1), (3, 'l2', 10.0)),
+out as (select unnest(range(3)) as k),
+m as (select k, count(*) as m from out join y on fold <> k group by k),
+g as (select k, term, sum(case when fold <> k then weight * (0.5 - label) else 0 end) as g
+    from out, x join y using (id) group by k, term),
+coef as (select trial, k, term, case penalty
+        when 'l2' then -g / m / (d / m + case when term = '' then 0 else 1 / c / m end)
+        else -sign(g) * greatest(abs(g) / m - case when term = '' then 0 else 1 / c / m end, 0) / (d / m) end as w
+    from g join curve using (term) join m using (k), points),
+margin as (select trial, k, id, label, sum(weight * coef.w) as m from x join y using (id) join coef on coef.term = x.term and coef.k = y.fold
+    group by trial, k, id, label),
+scored as (select trial, k, avg(cast((m > 0)::int = label as int)) as accuracy,
+    avg(greatest(z, 0) + ln(1 + exp(-abs(z)))) as log_loss
+    from (select *, case label when 1 then -m else m end as z from margin) group by trial, k)
+select cast(trial as int) as trial, 1 as steps, round(avg(accuracy), 6) as accuracy, round(avg(log_loss), 6) as log_loss
+from scored group by trial"""
+O["versioned_model_scores"] = f"""with {TERMS}, {tfidf()},
+turns as (select distinct conv_id || ':' || turn || case when text is null then '' else ':' || md5(text) end as id,
+    coalesce(text, '') as text from conversations),
+b as (select id, term, count(*) as tf from (select id, unnest(regexp_extract_all({clean('text')}, '[{W}]{{2,}}')) as term
+    from turns) group by 1, 2),
+bw as (select id, term, tf * idf as w from b join idf using (term)),
+bn as (select id, term, w / sqrt(sum(w * w) over (partition by id)) as weight from bw)
+select turns.id, round(1 / (1 + exp(-0.25 - coalesce(sum(weight * (length(term) % 5 - 2)), 0))), 6) as score
+from turns left join bn on bn.id = turns.id group by turns.id"""
+
+# --- stored layout, exact quantiles, drift and alerts by window
+O["merge_bucketed"] = O["merge_results"]
+O["attach_bucketed"] = O["attach_labels"]
+O["latency_quantiles"] = f"""select day, share, round(value, 6) as value from (
+    select {DAY} as day, unnest([0.5, 0.95, 0.99]) as share, unnest(quantile_cont(value, [0.5, 0.95, 0.99])) as value
+    from events group by 1)"""
+O["text_length_quantiles"] = """select unnest([0.0, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0])::double as share,
+    round(unnest(quantile_cont(n_chars, [0.0, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0])), 6) as value from documents"""
+
+
+def drift(where: str = "") -> str:
+    return f"""with cur as (select event_type as c, date_trunc('day', ts) as d, value as v, count(*) as b from events
+    where not ({EARLY}) and value is not null group by all),
+base as (select event_type as c, value as v, count(*) as a from events where {EARLY} and value is not null group by all),
+k0 as (select c, d, v, sum(a) as a, sum(b) as b from (
+    select w.c, w.d, v, a, 0 as b from (select distinct c, d from cur) w join base on base.c = w.c
+    union all select c, d, v, 0, b from cur) group by all),
+k1 as (select c, d, sum(a) over (partition by c, d order by v) as ca, sum(b) over (partition by c, d order by v) as cb,
+    sum(a) over (partition by c, d) as n, sum(b) over (partition by c, d) as m from k0),
+k2 as (select c, d, max(abs(ca / n - cb / m)) as statistic, max(n)::bigint as n, max(m)::bigint as m from k1 group by c, d),
+k3 as (select *, pow(statistic, 2) * (n::double * m / (n + m)) as l2 from k2),
+ks as (select *, case when l2 < 0.04 then 1.0 else least(greatest(2 * list_sum([
+    (case when j % 2 = 1 then 1.0 else -1.0 end) * exp(-2.0 * j * j * l2) for j in range(1, 101)]), 0.0), 1.0) end as p_value
+    from k3)
+select c as class, strftime(d, '%Y-%m-%d') as day, round(statistic, 6) as statistic, n, m, round(p_value, 6) as p_value,
+    p_value < 0.05 as drift from ks {where}"""
+
+
+def alerts(where: str = "") -> str:
+    return f"""with w as (select event_type as class, date_trunc('day', ts) as d, avg((value >= 50)::int) > 0.37 as breach
+    from events group by all),
+f as (select *, max(d) over (partition by class) as newest from w {where}),
+i as (select *, d - to_days(cast(row_number() over (partition by class order by d) as int)) as island from f where breach)
+select class, strftime(min(d), '%Y-%m-%d') as day, count(*) as windows,
+    case when max(d) = max(newest) then 'firing' else 'resolved' end as state
+from i group by class, island having count(*) >= 2"""
+
+
+# A stream has finished the days that the watermark, an hour behind the newest event, has passed.
+FINISHED = "where d + interval 1 day <= (select max(ts) - interval 1 hour from events)"
+O["drift_by_window"] = drift()
+O["stream_drift"] = drift(FINISHED)
+O["alert_intervals"] = alerts()
+O["stream_alert_states"] = alerts(FINISHED)

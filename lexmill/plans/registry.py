@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import arrays, labels, text
 from lexmill.functions.stopwords import ENGLISH
-from lexmill.operators import (corpus, features, filters, metrics, models, monitor, neighbours, relational,
-                               scoring, splits, words)
+from lexmill.operators import (corpus, features, filters, linear, metrics, models, monitor, neighbours, quantiles,
+                               relational, scoring, splits, words)
 from lexmill.plans import flows
-from lexmill.session import new_path, stage
-from lexmill.sources import readers, writers
+from lexmill.session import new_path, stage, stage_bucketed
+from lexmill.sources import readers, versions, writers
 from lexmill.sources.readers import parse_word_vectors, read_table
 from lexmill.sources.writers import feature_table, label_table
-from lexmill.streaming import streams
+from lexmill.streaming import stateful, streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DIM = 64
@@ -216,13 +216,12 @@ def argmax_class(spark, folder):
 
 @query
 def raw_posts_read(spark, folder):
-    """Documents in the raw layout of posts, through CSV files."""
-    line = F.regexp_replace("text", "[\r\n]+", " ")
+    """Documents in the raw layout of posts, line breaks and all, through CSV files."""
     path = new_path(spark, "raw")
     writers.write_posts(read_table(spark, folder, "documents").select(
         (F.col("doc_id") % 2 * 4).cast("int").alias("polarity"), F.col("doc_id").alias("post_id"),
         F.col("lang").alias("date"), F.lit("NO_QUERY").alias("query"), F.col("source").alias("user"),
-        line.alias("text")), path)
+        "text"), path)
     return readers.read_posts(spark, path).select("polarity", "post_id", "date", "user", "text")
 
 
@@ -296,6 +295,22 @@ def merge_results(spark, folder):
     return relational.merge_on_id(x, label_rows(spark, folder))
 
 
+@query
+def merge_bucketed(spark, folder):
+    """Documents and labels stored by id, so that they merge where they lie."""
+    docs = read_table(spark, folder, "documents", "doc_id", "lang").withColumnRenamed("doc_id", "id")
+    return relational.merge_on_id(stage_bucketed(docs, "documents", ["id"]),
+                                  stage_bucketed(label_rows(spark, folder), "labels", ["id"]))
+
+
+@query
+def attach_bucketed(spark, folder):
+    y = stage_bucketed(label_rows(spark, folder), "labels", ["id"])
+    x = stage_bucketed(read_table(spark, folder, "documents", "doc_id", "n_chars").withColumnRenamed("doc_id", "id"),
+                       "documents", ["id"])
+    return relational.attach_labels(relational.sync_labels(y, x, "id"), y)
+
+
 @query
 def token_coverage(spark, folder):
     docs = stage(cleaned(spark, folder), "clean")
@@ -733,11 +748,65 @@ def sgd_logistic(spark, folder):
     return models.sgd_logistic(weights, train.select("id", "label"), batch_rows=500)[1]
 
 
+def weighted_terms(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """((id, term, weight), (id, label, fold)) of the training rows."""
+    rows = training_rows(spark, folder)
+    train = train_part(rows)
+    weights = stage(features.tfidf(train, "id", F.col("tokens"), train_idf(rows)), "weights")
+    return weights, train.select("id", "label", "fold")
+
+
+@query
+def logistic_step(spark, folder):
+    """The weights after the first step from zero, with either penalty."""
+    weights, marks = weighted_terms(spark, folder)
+    data = linear.design(weights, marks)
+    tasks = [linear.Task("l2", 10.0), linear.Task("l1", 10.0)]
+    state = linear.step(data, linear.start_state(data, tasks), tasks, 0.0)
+    return state.select("term", (r6("w0") + 0.0).alias("w_l2"), (r6("w1") + 0.0).alias("w_l1"))
+
+
+SEARCH_POINTS = [{"penalty": p, "C": c} for p in ("l1", "l2") for c in (0.1, 10.0)]
+
+
+@query
+def search_first_rung(spark, folder):
+    """Accuracy and loss of all points over all folds after one shared step."""
+    points = [{**p, "max_iter": 1} for p in SEARCH_POINTS]
+    rungs = linear.search(*weighted_terms(spark, folder), points, first_steps=1, halve=False, refit=False)[2]
+    return rungs.select("trial", "steps", r6("accuracy").alias("accuracy"), r6("log_loss").alias("log_loss"))
+
+
+@query
+def halving_search(spark, folder):
+    points = [{**p, "max_iter": 12} for p in SEARCH_POINTS]
+    return linear.search(*weighted_terms(spark, folder), points, first_steps=4, refit=False)[2]
+
+
 @query
 def word_weights(spark, folder):
-    vectors, rows = vectorised(spark, folder)
-    train = train_part(rows)
-    return models.word_weights(vectors, models.logistic(train.count(), C=10.0).fit(train), spark)
+    """The words that weigh most on either side, from a table of weights."""
+    weights, marks = weighted_terms(spark, folder)
+    return linear.word_weights(linear.fit_logistic(weights, marks, C=10.0, max_iter=20, tol=1e-3))
+
+
+@query
+def versioned_model_scores(spark, folder):
+    """Turns scored with a vocabulary and weights that were saved as one version and read back."""
+    rows = term_rows(spark, folder)
+    idf = train_idf(rows)
+    path = new_path(spark, "model")
+    slope = (F.length("term") % 5 - 2).cast("double")
+    none = spark.createDataFrame([("", 0.25)], "term string, w double")
+    versions.publish({"idf": idf.limit(0), "weights": none}, path, 1)
+    versions.publish({"idf": idf, "weights": idf.select("term", slope.alias("w")).unionByName(none)}, path, 2)
+    model = versions.load(spark, path)
+    turns = read_table(spark, folder, "conversations").select(
+        F.concat_ws(":", "conv_id", "turn", F.md5("text")).alias("id"),
+        text.feature_terms(text.clean_base(F.coalesce("text", F.lit("")))).alias("tokens")).dropDuplicates(["id"])
+    terms = features.tfidf(turns, "id", F.col("tokens"), model["idf"])
+    out = models.linear_scores(terms, model["weights"], "id", turns)
+    return out.select("id", r6("score").alias("score"))
 
 
 @query
@@ -927,6 +996,43 @@ def latency_percentiles(spark, folder):
     return out.select(day(), "p50", "p95", "p99")
 
 
+@query
+def latency_quantiles(spark, folder):
+    """Exact median, 95 % and 99 % latency of each day."""
+    rows = timed(spark, folder).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    out = quantiles.exact_quantiles(rows, "value", [0.5, 0.95, 0.99], ["day"], limit=100)
+    return out.select("day", "share", r6("value").alias("value"))
+
+
+@query
+def text_length_quantiles(spark, folder):
+    """Exact quantiles of the length in characters, over all documents."""
+    rows = read_table(spark, folder, "documents", "n_chars")
+    out = quantiles.exact_quantiles(rows, "n_chars", [0.0, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0], limit=50)
+    return out.select("share", r6("value").alias("value"))
+
+
+ALERT = {"limit_ms": 50.0, "max_share": 0.37}
+
+
+@query
+def alert_intervals(spark, folder):
+    windows = monitor.class_latency(timed(spark, folder), "ts", "event_type", "value", **ALERT)
+    out = monitor.alert_intervals(windows, 2)
+    return out.select("class", day("alert_start"), "windows", "state")
+
+
+@query
+def drift_by_window(spark, folder):
+    base, late = halves(read_table(spark, folder, "events", "ts", "value", "event_type"))
+    out = monitor.ks_by_window(base, late, "value", "ts", "event_type")
+    return drift_columns(out.withColumnRenamed("event_type", "class").withColumn("day", day()))
+
+
+def drift_columns(out: DataFrame) -> DataFrame:
+    return out.select("class", "day", r6("statistic").alias("statistic"), "n", "m", r6("p_value").alias("p_value"), "drift")
+
+
 @query
 def error_rate_alerts(spark, folder):
     out = monitor.error_rate_alerts(timed(spark, folder), "ts", F.col("event_type") == "error", 0.2)
@@ -1000,3 +1106,29 @@ def stream_new_labels(spark, folder):
     fresh = streams.new_labels(docs.withColumnRenamed("doc_id", "id"), label_rows(spark, folder), "id", "text", "ts")
     # Which of several equal texts comes first is open in a stream; the texts are not.
     return run_stream(fresh.select(F.sha2("text", 256).alias("digest")), "labels")
+
+
+def day_of_ms(c: str) -> Column:
+    return F.date_format(streams.utc_time(f"timestamp_millis({c})"), "yyyy-MM-dd").alias("day")
+
+
+@query
+def stream_drift(spark, folder):
+    """The test of each finished day of each class, from a stream whose state holds the base and the open days."""
+    base, _ = halves(read_table(spark, folder, "events", "ts", "value", "event_type"))
+    late = halves(streams.read_files(spark, folder, streams.EVENT, "events.parquet"))[1]
+    with stateful.rocks_state(spark):
+        out = run_stream(stateful.drift_by_window(streams.with_event_time(late), base, "ts", "event_type", "value"), "drift")
+    return drift_columns(out.withColumn("day", day_of_ms("start_ms")))
+
+
+@query
+def stream_alert_states(spark, folder):
+    """Alerts of finished days, with the state in which the stream left them."""
+    windows = monitor.class_latency(stream_of_events(spark, folder), "ts", "event_type", "value", **ALERT)
+    changes = stateful.alert_states(windows, 2)
+    path = new_path(spark, "alerts")
+    with stateful.rocks_state(spark):
+        streams.write_updates(changes, path, new_path(spark, "alerts-log"), mode="append").awaitTermination()
+    out = streams.current_rows(spark, path, changes.schema, "class", "start_ms")
+    return out.select("class", day_of_ms("start_ms"), "windows", "state")

@@ -77,3 +77,17 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, dealt and sorted by ``keys``, and read it back with that layout.
+
+    Joins and aggregates on the keys then need no exchange, however often the table is read. Both sides of a join
+    need the same number of buckets, by default the session's shuffle partitions.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"lexmill_{name}_{uuid.uuid4().hex}"
+    (df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", new_path(spark, name))
+     .format("parquet").saveAsTable(table))
+    return spark.table(table)

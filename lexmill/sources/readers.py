@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.functions.text import SPACE, strip
+from lexmill.sources.delimited import read_csv
 from lexmill.sources.schemas import EVALUATION, FEATURE, LABEL, NA_STRINGS, RAW_POST
 
 
@@ -17,34 +18,40 @@ def blank_to_null(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(*NA_STRINGS), F.col(c)) for c in columns})
 
 
-def read_posts(spark: SparkSession, path: str, na_strings: bool = False, multi_line: bool = False) -> DataFrame:
-    """Headerless CSV of raw posts, one a line, so that a large file is read in parallel.
+def _plain_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool) -> DataFrame:
+    return spark.read.schema(schema).option("quote", '"').option("escape", '"').csv(path, header=header)
 
-    ``multi_line`` allows quoted line breaks; then each file is one task.
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType, header: bool, multi_line: bool) -> DataFrame:
+    return read_csv(spark, path, schema, header) if multi_line else _plain_csv(spark, path, schema, header)
+
+
+def read_posts(spark: SparkSession, path: str, na_strings: bool = False, multi_line: bool = True) -> DataFrame:
+    """Headerless CSV of raw posts; quoted texts may hold line breaks, and a file is read by many tasks.
+
+    Only where it is known that no text holds a line break, ``multi_line=False`` spares the pass that counts quotes;
+    such a break would part a post without an error.
     """
-    df = (spark.read.schema(RAW_POST)
-          .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-          .csv(path, header=False))
+    df = _csv(spark, path, RAW_POST, False, multi_line)
     text_columns = [f.name for f in RAW_POST.fields if isinstance(f.dataType, T.StringType)]
     return blank_to_null(df, *text_columns) if na_strings else df
 
 
-def _read_pairs(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+def _read_pairs(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     if path.rstrip("/").endswith(".csv"):
-        return (spark.read.schema(schema).option("quote", '"').option("escape", '"')
-                .option("multiLine", multi_line).csv(path, header=True))
+        return _csv(spark, path, schema, True, multi_line)
     return spark.read.parquet(path).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_features(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_features(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """(id, feature) from CSV with header or from Parquet."""
     return _read_pairs(spark, path, FEATURE, multi_line)
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """(id, label) from CSV with header or from Parquet."""
-    return _read_pairs(spark, path, LABEL)
+    return _read_pairs(spark, path, LABEL, False)
 
 
 def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -53,11 +60,9 @@ def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
-def read_evaluation(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_evaluation(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """An already split evaluation file (tweet, id), where ``id`` is the label, as (feature, label)."""
-    df = (spark.read.schema(EVALUATION).option("quote", '"').option("escape", '"')
-          .option("multiLine", multi_line).csv(path, header=True))
-    return df.select(F.col("tweet").alias("feature"), F.col("id").alias("label"))
+    return _csv(spark, path, EVALUATION, True, multi_line).select(F.col("tweet").alias("feature"), F.col("id").alias("label"))
 
 
 def parse_word_vectors(lines: DataFrame, dim: int, keep: str = "last") -> DataFrame:

@@ -64,11 +64,11 @@ def write_batches(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpo
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def write_updates(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def write_updates(df: DataFrame, path: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
     """Every changed row of each batch, open windows included; a batch that runs again overwrites its folder."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
-    return write_batches(df, sink, checkpoint, mode="update")
+    return write_batches(df, sink, checkpoint, mode=mode)
 
 
 def current_rows(spark: SparkSession, path: str, schema: T.StructType, *keys: str) -> DataFrame:
