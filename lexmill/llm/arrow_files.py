@@ -27,6 +27,8 @@ def file_schema(length: int, id_type: pa.DataType) -> pa.Schema:
 
 
 def _fs(path: str) -> tuple[pafs.FileSystem, str]:
+    # The same store under the scheme that Arrow knows it by.
+    path = path.replace("s3a://", "s3://", 1) if path.startswith("s3a://") else path
     return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else os.path.abspath(path))
 
 
@@ -131,12 +133,12 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, folder: str, length:
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        encode = encoder(shared.value).encode_many
+        encode = encoder(shared.value).packed
         task = TaskContext.get()
         name = f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}"
         files, inner = _fs(name)
         files.create_dir(os.path.dirname(inner), recursive=True)
-        end = np.array([end_id], dtype="<u4")
+        end = np.array([end_id], dtype="<u4").tobytes()
         n_docs = 0
         with files.open_output_stream(f"{inner}.arrow") as sink, \
                 files.open_output_stream(f"{inner}.index.arrow") as index_sink, \
@@ -151,7 +153,7 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, folder: str, length:
                 starts, sizes = [], []
                 for ids in encode(batch.column(1).to_pylist()):
                     starts.append(out.total)
-                    out.add(np.concatenate([ids, end]))
+                    out.add(np.frombuffer(ids + end, dtype="<u4"))
                     sizes.append(out.total - starts[-1])
                 index.write_batch(pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=INDEX))

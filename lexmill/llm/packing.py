@@ -28,16 +28,17 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = 2048, end
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def cut(batches):
-        encode = encoder(shared.value).encode_many
-        end = np.array([end_id], dtype="<u4")
+        encode = encoder(shared.value).packed
+        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in slices(batches):
             rows = []
             for doc, found in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
-                ids = np.concatenate([found, end])
-                stop = len(ids) % capacity or min(capacity, len(ids))
+                ids = found + end
+                size = len(ids) // 4
+                stop = size % capacity or min(capacity, size)
                 start = 0
-                for piece in range(-(-len(ids) // capacity)):
-                    part = ids[start:stop].tobytes()
+                for piece in range(-(-size // capacity)):
+                    part = ids[4 * start:4 * stop]
                     rows.append((doc, piece, start, stop - start, zlib.crc32(part), part if keep_ids else None))
                     start, stop = stop, stop + capacity
             columns = list(zip(*rows)) if rows else [[]] * 6

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from lexmill.llm import (arrow_files, bpe, chat, decontaminate, embeddings, jaccard, packing, phrases, quality, substring,
                          toxicity, urls, variants)
 from lexmill.llm.tokens import read_tokenizer
-from lexmill.session import shared_dir, stage
+from lexmill.session import new_path, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,8 +73,8 @@ def op5_quality_rules(spark, folder):
 
 @query
 def op6_arrow_token_files(spark, folder):
-    path = os.path.join(shared_dir(spark), f"tokens-{uuid.uuid4().hex}")
-    manifest = arrow_files.write_token_files(table(spark, folder, "documents"), byte_bpe(), path, vocabulary=50_257)
+    manifest = arrow_files.write_token_files(table(spark, folder, "documents"), byte_bpe(), new_path(spark, "tokens"),
+                                             vocabulary=50_257)
     return arrow_files.read_token_files(manifest)
 
 

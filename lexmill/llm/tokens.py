@@ -3,25 +3,47 @@
 from __future__ import annotations
 
 import json
+import re
 from itertools import islice
 
 import numpy as np
-import regex
 from tokenizers import Tokenizer
 
-# Fixed value: the split that byte-level BPE of this family makes before it merges.
-SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-         r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-# Scripts in which all Unicode versions agree on letters, digits and white space.
-_OTHER = regex.compile("[^\x00-ɏḀ-ỿ‐-›€]")
-REMEMBERED = 1_000_000  # pieces; about 200 MB in a worker
+from lexmill.llm.bpe import byte_symbols
+
+# Fixed value: the split that byte-level BPE of this family makes before it merges is
+# 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
+# Scripts in which all Unicode versions agree on letters, digits and white space, and Python's own classes with them:
+# without the numbers that are no decimal digits, and the separators that Python takes for white space.
+_OTHER = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u1e00-\u1eff\u2010-\u203a\u20ac]")
+# The split in Python's classes, for texts of those scripts.
+_PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
+REMEMBERED = 500_000  # pieces; about 100 MB in a worker
+
+
+class _Pieces(dict):
+    """piece -> packed ids, remembered within bounds; a new piece goes to the library's merges alone."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.merge, self.symbols = tokenizer.model.tokenize, dict(enumerate(byte_symbols()))
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            # The pieces seen first are the frequent ones.
+            first = list(islice(self.items(), REMEMBERED // 2))
+            self.clear()
+            self.update(first)
+        found = self.merge(piece.encode("utf-8").decode("latin-1").translate(self.symbols))
+        ids = self[piece] = np.array([t.id for t in found], dtype="<u4").tobytes()
+        return ids
 
 
 class Encoder:
-    """Texts to arrays of ids.
+    """Texts to packed ids, little-endian unsigned 32-bit.
 
     With a byte-level tokenizer the ids of a text are those of its pieces one after
-    the other, so each piece is encoded by the library once and then remembered
+    the other, so each piece is merged by the library once and then remembered
     (within bounds). Other tokenizers and scripts go to the library as whole texts.
     Special strings inside a text are ordinary text. A null text is an empty one.
     """
@@ -32,60 +54,31 @@ class Encoder:
         plan = json.loads(tokenizer_json)
         pre = plan.get("pre_tokenizer") or {}
         self.by_piece = (plan.get("normalizer") is None and plan["model"].get("type") == "BPE"
+                         and not plan["model"].get("dropout")
                          and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                          and not pre.get("add_prefix_space"))
-        self.pieces = regex.compile(SPLIT).findall
-        self.known: dict[str, bytes] = {}
-        # Pieces that are new go to the library together, one per line, if a line end is always one id.
-        line_end = self._ids(["\n"])[0]
-        self.line_end = int(np.frombuffer(line_end, "<u4")[0]) if self.by_piece and len(line_end) == 4 else None
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _learn(self, fresh: list[str]) -> None:
-        if len(self.known) + len(fresh) > REMEMBERED:
-            # The pieces seen first are the frequent ones.
-            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
-        plain = [p for p in fresh if not p.isspace() and "\n" not in p] if self.line_end is not None else []
-        for at in range(0, len(plain), 10_000):
-            part = plain[at:at + 10_000]
-            ids = np.frombuffer(self._ids(["\n".join(part)])[0], dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)).tolist()
-            raw, start = ids.tobytes(), 0
-            if len(ends) != len(part):
-                self.known.update(zip(part, self._ids(part)))
-                continue
-            for p, end in zip(part, ends):
-                self.known[p] = raw[4 * start:4 * end]
-                start = end + 1
-        rest = [p for p in fresh if p not in self.known]
-        self.known.update(zip(rest, self._ids(rest)))
+        self.known = _Pieces(self.tokenizer)
 
-    def encode(self, text: str | None) -> np.ndarray:
-        return self.encode_many([text])[0]
-
-    def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text, as little-endian unsigned 32-bit."""
-        split, whole = {}, []
+    def packed(self, texts: list[str | None]) -> list[bytes]:
+        """Packed ids of each text."""
+        out, whole, ids_of = [b""] * len(texts), [], self.known.__getitem__
         for k, text in enumerate(texts):
             if text and self.by_piece and not _OTHER.search(text):
-                split[k] = self.pieces(text)
+                out[k] = b"".join(map(ids_of, _PLAIN.findall(text)))
             elif text:
                 whole.append(k)
-        known = self.known
-        if fresh := list({p for pieces in split.values() for p in pieces if p not in known}):
-            self._learn(fresh)
-        out = [b""] * len(texts)
-        for k, pieces in split.items():
-            try:
-                out[k] = b"".join(map(self.known.__getitem__, pieces))
-            except KeyError:  # forgotten meanwhile, as room was needed
-                whole.append(k)
-        for k, ids in zip(whole, self._ids([texts[k] for k in whole])):
-            out[k] = ids
-        return [np.frombuffer(ids, dtype="<u4") for ids in out]
+        if whole:
+            found = self.tokenizer.encode_batch_fast([texts[k] for k in whole], add_special_tokens=False)
+            for k, e in zip(whole, found):
+                out[k] = np.array(e.ids, dtype="<u4").tobytes()
+        return out
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text."""
+        return [np.frombuffer(ids, dtype="<u4") for ids in self.packed(texts)]
 
 
 _ENCODERS: dict[int, Encoder] = {}
