@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lexmill.session import new_path
 
 # A worker forgets its remembered words beyond this number, so its memory is bounded.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 
 class WordHashes(dict):

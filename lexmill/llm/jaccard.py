@@ -40,52 +40,70 @@ def _counts(width: int):
             for k, found in enumerate((words, sets)):
                 if found:
                     total[k] += np.bincount(_bucket(np.concatenate(found)), minlength=total.shape[1])
-        if total.any():
-            parts = total.astype("<u4").reshape(-1, PART)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())],
-                names=["part", "counts"])
+        yield from _parts(total.reshape(-1), PART)
     return rows
 
 
-def _merge(kind: str, combine):
+def _parts(values: np.ndarray, size: int):
+    """(part, counts): only what is filled goes out, so a task sends as much as it holds.
+
+    A part is its values, in 32 bits where that is enough, or, where fewer than a third are not zero, their places and they.
+    """
+    found = []
+    for k, part in enumerate(values.astype("<i8").reshape(-1, size)):
+        at = np.flatnonzero(part)
+        if 3 * len(at) >= size:
+            small = part.min() >= 0 and part.max() < 1 << 32
+            found.append((k, part.astype("<u4" if small else "<i8").tobytes()))
+        elif len(at):
+            found.append((k, np.uint16(len(at)).tobytes() + at.astype("<u2").tobytes() + part[at].tobytes()))
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()),
+                                          pa.array([b for _, b in found], pa.binary())], names=["part", "counts"])
+
+
+def _whole(packed: bytes, size: int) -> np.ndarray:
+    if len(packed) >= 4 * size:
+        return np.frombuffer(packed, "<u4" if len(packed) == 4 * size else "<i8").astype(np.int64)
+    n = int(np.frombuffer(packed[:2], "<u2")[0])
+    out = np.zeros(size, dtype=np.int64)
+    out[np.frombuffer(packed[2:2 + 2 * n], "<u2")] = np.frombuffer(packed[2 + 2 * n:], "<i8")
+    return out
+
+
+def _merge(size: int, combine):
     def rows(key, table):
-        total = combine(np.stack([np.frombuffer(b, kind).astype("<i8") for b in table.column("counts").to_pylist()]))
+        total = np.zeros(size, dtype=np.int64)
+        for packed in table.column("counts"):
+            total = combine(total, _whole(packed.as_py(), size))
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()),
                          "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
     return rows
 
 
-def _merged(parts: DataFrame, kind: str, combine, size: int) -> np.ndarray:
+def _merged(parts: DataFrame, combine, part: int, size: int) -> np.ndarray:
     """Tables of the tasks put together, as one array of fixed size on the driver.
 
     In two steps, so no group holds more than about twice the square root of the number of tasks.
     """
     schema = "part int, counts binary"
     salted = parts.withColumn("salt", F.floor(F.sqrt(F.spark_partition_id())))
-    some = salted.groupBy("part", "salt").applyInArrow(_merge(kind, combine), schema)
+    some = salted.groupBy("part", "salt").applyInArrow(_merge(part, combine), schema)
     total = np.zeros(size, dtype=np.int64)
-    for row in some.groupBy("part").applyInArrow(_merge("<i8", combine), schema).collect():
+    for row in some.groupBy("part").applyInArrow(_merge(part, combine), schema).collect():
         found = np.frombuffer(row["counts"], "<i8")
         total[row["part"] * len(found):(row["part"] + 1) * len(found)] = found
     return total
 
 
-def _add(x: np.ndarray) -> np.ndarray:
-    return x.sum(axis=0)
-
-
-def _either(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_or.reduce(x, axis=0)
-
-
 def _tables(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """For buckets of words: log2 of their count; for buckets of shingles: 0, or more if one in it is frequent.
 
     All documents are counted; each task adds up its own table.
     """
     ship(docs.sparkSession)
-    total = _merged(map_rows(docs, _counts(width), "part int, counts binary"), "<u4", _add, 2 << SKETCH_BITS)
+    total = _merged(map_rows(docs, _counts(width), "part int, counts binary"), np.add, PART,
+                    2 << SKETCH_BITS)
     words, shingles = total.reshape(2, -1)
     mean = shingles.mean()
     excess = shingles - mean
@@ -161,11 +179,7 @@ def _id_bits(batches):
     bits = np.zeros(1 << ID_BITS, dtype=np.uint8)
     for batch in batches:
         bits[_id_bit(np.concatenate([batch.column(0).to_numpy(), batch.column(1).to_numpy()]))] = 1
-    if bits.any():
-        parts = np.packbits(bits).reshape(-1, 8 * PART)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())],
-            names=["part", "counts"])
+    yield from _parts(np.packbits(bits).view("<i8"), PART)
 
 
 def _set_rows(width: int, shared):
@@ -226,7 +240,8 @@ def _verify(scratch: Scratch, pairs: DataFrame, docs: DataFrame, members: DataFr
         sized, _bounded(percent), "a long, b long, both long, union long, maybe boolean"), "bounds")
     release(spark)
     need = bounds.where("maybe").select("a", "b")
-    bits = _merged(map_rows(need, _id_bits, "part int, counts binary"), "<i8", _either, (1 << ID_BITS) // 64)
+    bits = _merged(map_rows(need, _id_bits, "part int, counts binary"), np.bitwise_or, PART,
+                   (1 << ID_BITS) // 64)
     shared = spark.sparkContext.broadcast(bits.astype("<i8").view(np.uint8))
     own_scratch = Scratch(spark)
     sets = own_scratch.stage(map_rows(docs, _set_rows(width, shared), "id long, shingles binary"), "shingles")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import REMEMBERED, map_rows, slices
+from lexmill.llm.common import map_rows, slices
 
 # What stands around a word while it is compressed. Both dictionaries
 # end in it. zstandard stores very short blocks as they are and finds no match in
@@ -18,6 +19,7 @@ from lexmill.llm.common import REMEMBERED, map_rows, slices
 HEAD, TAIL = b"#0123456789abcdefghijklmnopqrstu#", b"#vwxyz9876543210#"
 FAR = 8  # places from a word to those that make its context
 EVIDENCE = 12.0  # log likelihood ratio from which a word of few texts counts as toxic
+REMEMBERED = 150_000  # words; about 30 MB in a task
 LEVELS = (2, 3, 4, 6)  # bytes that a word must be shorter under the toxic dictionary
 
 
@@ -48,8 +50,11 @@ class _Distance:
         known = self.known
         if fresh := {w for w in words if w not in known}:
             if len(known) + len(fresh) > REMEMBERED:
+                # The words seen first are the frequent ones.
+                first = list(islice(known.items(), REMEMBERED // 3))
                 known.clear()
-                fresh = set(words)
+                known.update(first)
+                fresh = {w for w in words if w not in known}
             ordinary, toxic = self.sizes
             for w in fresh:
                 framed = HEAD + f" {w} ".encode("utf-8", "surrogatepass") + TAIL
