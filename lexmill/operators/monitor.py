@@ -152,7 +152,7 @@ def incremental_labels(known: DataFrame, new: DataFrame, row_id: str, text: str)
     """New labelled rows to append: unknown ids only, first row per id, then per text."""
     fresh = new.join(known.select(row_id), row_id, "left_anti").select(*new.columns)
     fresh = keep_first(fresh, F.col(row_id), F.struct(row_id, text))
-    return dedup_by_text(fresh, text, F.col(row_id))
+    return dedup_by_text(fresh, text, F.col(row_id), unique=True)
 
 
 def should_retrain(drift: DataFrame) -> DataFrame:

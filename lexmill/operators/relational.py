@@ -58,10 +58,26 @@ def keep_first(df: DataFrame, key: Column, order: Column) -> DataFrame:
     return df.groupBy(key.alias("_key")).agg(F.min_by(row, order).alias("_row")).select("_row.*")
 
 
-def dedup_by_id(df: DataFrame, row_id: str, order: Column) -> DataFrame:
-    return keep_first(df, F.col(row_id), order)
+def _firsts(df: DataFrame, key: Column, order: Column) -> DataFrame:
+    """The row with the smallest ``order`` per key, where the order names one row of its key.
+
+    Only key and order are aggregated, by hash; whole rows are neither sorted nor aggregated, they meet the
+    few columns of the result in a semi-join, which is a broadcast below the threshold.
+    """
+    firsts = df.where(key.isNotNull()).groupBy(key.alias("_key")).agg(F.min(order).alias("_order"))
+    none = df.where(key.isNull())
+    kept = df.join(firsts, (key == F.col("_key")) & (order == F.col("_order")), "left_semi")
+    return kept.unionByName(keep_first(none, key, order))
+
+
+def dedup_by_id(df: DataFrame, row_id: str, order: Column, unique: bool = False) -> DataFrame:
+    """The first row per id. With ``unique`` the caller says that no two rows of an id are equal in ``order``.
+
+    Then only ids and order are aggregated; otherwise whole rows are, since equal ones must become one.
+    """
+    return (_firsts if unique else keep_first)(df, F.col(row_id), order)
 
 
-def dedup_by_text(df: DataFrame, text: str, order: Column) -> DataFrame:
-    """The first row per exact text; texts are compared by their SHA-256 digest."""
-    return keep_first(df, F.unhex(F.sha2(text, 256)), order)
+def dedup_by_text(df: DataFrame, text: str, order: Column, unique: bool = False) -> DataFrame:
+    """The first row per exact text; texts are compared by their SHA-256 digest. ``unique`` as for ids."""
+    return (_firsts if unique else keep_first)(df, F.unhex(F.sha2(text, 256)), order)

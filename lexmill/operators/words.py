@@ -93,23 +93,35 @@ def lemma_table(vocab: DataFrame, lexicon: DataFrame) -> DataFrame:
     """(word, new_word) for the words that have a lemma in ``lexicon`` (column word).
 
     Candidates are the word and its one-step detachments; further steps count only if
-    no earlier one is in the lexicon, and go on until no word has a candidate left. Among
-    candidates of a step the shortest wins, the earliest rule on ties. Each step detaches
-    letters and keeps only words without a lemma so far, so the table shrinks fast.
+    no earlier one is in the lexicon. Among candidates of a step the shortest wins, the earliest rule on ties.
+    All steps of a word are made inside its row, so this is one pass over the vocabulary however long a word is. Forms
+    longer than the longest entry cannot match and are not kept; a run of ``s`` that reaches beyond it is cut down to it first,
+    since only one ``s`` a step comes off such a run.
     """
+    lexicon = stage(lexicon.select("word").distinct(), "lexicon")
+    longest = lexicon.agg(F.coalesce(F.max(F.length("word")), F.lit(0)).alias("n")).scalar()
+    base = F.regexp_replace("word", "s+\\z", "")
+    run = F.length("word") - F.length(base)
+    room = F.greatest(F.lit(2), F.col("_longest") + 2 - F.length(base))
+    rows = vocab.select("word", longest.alias("_longest")).withColumn(
+        "_w", F.when(run > room, F.concat(base, F.repeat(F.lit("s"), room))).otherwise(F.col("word")))
+    steps = F.when(F.col("_w").rlike("(s|men)\\z"), F.sequence(F.lit(1), F.length("_w"))).otherwise(
+        F.array().cast("array<int>"))
+
+    def options(forms: Column, step: Column, first: int) -> Column:
+        listed = F.transform(forms, lambda f, i: F.struct(step.cast("int").alias("step"), F.length(f).alias("size"),
+                                                          (i + first).cast("int").alias("rule"), f.alias("form")))
+        return F.filter(listed, lambda x: x["size"] <= F.col("_longest"))
+
+    def further(state: Column, k: Column) -> Column:
+        forms = F.array_distinct(_detached(state["forms"]))
+        return F.struct(forms.alias("forms"), F.concat(state["options"], options(forms, k - 1, 1)).alias("options"))
+
+    start = F.struct(F.array("_w").alias("forms"), options(F.array("_w"), F.lit(0), 0).alias("options"))
+    found = rows.select("word", F.explode(F.aggregate(steps, start, further)["options"]).alias("x")).select("word", "x.*")
     known = lexicon.select(F.col("word").alias("form"))
-    forms = vocab.select("word", F.concat(F.array("word"), _detached(F.array("word"))).alias("forms"),
-                         _detached(F.array("word")).alias("next"))
-    found = None
-    while True:
-        options = forms.select("word", F.posexplode("forms").alias("rule", "form"))
-        step = stage(options.join(known, "form", "left_semi").groupBy("word").agg(
-            F.min_by("form", F.struct(F.length("form"), "rule")).alias("new_word")), "lemmas")
-        found = step if found is None else found.unionByName(step)
-        forms = stage(forms.join(step, "word", "left_anti").where(F.size("next") > 0)
-                      .select("word", F.col("next").alias("forms"), _detached(F.col("next")).alias("next")), "forms")
-        if forms.isEmpty():
-            return found
+    return found.join(known, "form", "left_semi").groupBy("word").agg(
+        F.min_by("form", F.struct("step", "size", "rule")).alias("new_word"))
 
 
 def lemmatize(df: DataFrame, row_id: str, tokens: Column, lexicon: DataFrame) -> DataFrame:

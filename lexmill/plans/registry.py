@@ -326,12 +326,12 @@ def missing_predictions(spark, folder):
 @query
 def dedup_by_id(spark, folder):
     events = read_table(spark, folder, "events", "user_id", "event_id", "event_type", "value")
-    return relational.dedup_by_id(events, "user_id", F.col("event_id"))
+    return relational.dedup_by_id(events, "user_id", F.col("event_id"), unique=True)
 
 
 @query
 def dedup_by_text(spark, folder):
-    return relational.dedup_by_text(posts(spark, folder), "feature", F.col("id"))
+    return relational.dedup_by_text(posts(spark, folder), "feature", F.col("id"), unique=True)
 
 
 # --- splits ------------------------------------------------------------------------------------

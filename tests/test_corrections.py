@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from lexmill.operators import metrics, models, relational, scoring, words
 from lexmill.plans.registry import QUERIES
+from lexmill.session import stage_bucketed
+from lexmill.sources import versions
 
 
 def test_repeated_label_ids_fail(spark):
@@ -75,3 +77,56 @@ def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(type(spark.conf), "get", lambda *a: None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_lemmas_of_a_long_run(spark):
+    """A junk word of 2,000 letters takes no longer than its place in the lexicon, and the table is a few jobs."""
+    vocab = spark.createDataFrame([("s" * 2_000, 1), ("ab" + "s" * 2_000, 1), ("grass", 1), ("grasses", 1), ("wolves", 1),
+                                   ("women", 1), ("men", 1)], "word string, n int")
+    lexicon = spark.createDataFrame([("sss",), ("ab",), ("grass",), ("wolf",), ("woman",), ("s",)], "word string")
+    spark.sparkContext.setJobGroup("lemmas", "lemmas")
+    got = {r["word"]: r["new_word"] for r in words.lemma_table(vocab, lexicon).collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("lemmas"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {"s" * 2_000: "sss", "ab" + "s" * 2_000: "ab", "grass": "grass", "grasses": "grass", "wolves": "wolf",
+                   "women": "woman"}
+    assert jobs <= 12
+
+
+def test_first_rows_without_sorting_texts(spark):
+    df = spark.createDataFrame([(1, "a", 3), (2, "a", 1), (3, None, 5), (4, None, 4), (5, "b", 9)], "id long, t string, o long")
+    out = relational.dedup_by_text(df, "t", F.col("o"), unique=True)
+    assert sorted(r["id"] for r in out.collect()) == [2, 4, 5]
+    by_id = relational.dedup_by_id(df, "o", F.col("id"), unique=True)
+    assert by_id.count() == 5
+
+
+def test_versions_are_whole(spark, tmp_path):
+    folder = str(tmp_path / "model")
+    a = spark.createDataFrame([("x", 1.0)], "term string, w double")
+    with pytest.raises(ValueError):
+        versions.load(spark, folder)
+    versions.publish({"weights": a, "idf": a}, folder, 1)
+    # A writer that stopped before its manifest.
+    a.write.parquet(f"{folder}/tables/weights-2-stopped")
+    assert versions.versions(spark, folder) == [1]
+    with pytest.raises(ValueError):
+        versions.publish({"weights": a}, folder, 1)
+    versions.publish({"weights": a.withColumn("w", F.lit(2.0))}, folder, 2)
+    assert versions.load(spark, folder)["weights"].first()["w"] == 2.0
+    assert versions.load(spark, folder, 1)["idf"].first()["w"] == 1.0
+
+
+def test_stored_layout_joins_without_an_exchange(spark):
+    x = spark.createDataFrame([(k, f"t{k}") for k in range(100)], "id long, feature string")
+    y = spark.createDataFrame([(k, k % 2) for k in range(0, 100, 2)], "id long, label int")
+    x, y = stage_bucketed(x, "x", ["id"], 4), stage_bucketed(y, "y", ["id"], 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for out, n in ((relational.merge_on_id(x, y), 50), (relational.sync_labels(y, x), 50),
+                       (relational.attach_labels(x.join(y.select("id"), "id", "left_semi"), y), 50)):
+            assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+            assert out.count() == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

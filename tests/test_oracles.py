@@ -7,7 +7,7 @@ from lexmill.plans.oracles import ORACLES
 from lexmill.plans.registry import QUERIES
 
 SLOW = {"train_logistic", "batch_score", "grid_search", "grid_search_validation", "random_search", "cv_scores",
-        "train_mlp", "sgd_logistic", "word_weights"}
+        "train_mlp", "sgd_logistic", "word_weights", "halving_search"}
 
 
 @pytest.fixture(scope="module")
