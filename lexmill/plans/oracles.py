@@ -294,6 +294,7 @@ parts as (select id, unnest(vec) as value, generate_subscripts(vec, 1) - 1 as di
 means as (select id, dim, avg(cast(value as double)) as value from parts group by id, dim)
 select docs.id, cast(d as int) as dim, round(coalesce(value, 0), 6) as value
 from docs cross join range(64) r(d) left join means on means.id = docs.id and means.dim = d"""
+O["vectors_read"] = O["mean_vector"]
 O["nearest_neighbour"] = """
 with v as (select vec_id, cast(embedding as double[]) as e from embeddings),
 u as (select vec_id, e, sqrt(list_dot_product(e, e)) as len from v),

@@ -594,6 +594,16 @@ def mean_vector(spark, folder):
     return means.select("id", F.posexplode("vec").alias("dim", "value")).withColumn("value", r6("value"))
 
 
+@query
+def vectors_read(spark, folder):
+    """Mean vectors by id, written as a table and read again."""
+    docs = stage(cleaned(spark, folder), "clean")
+    path = new_path(spark, "mean-vectors")
+    writers.write_vectors(features.mean_vector(docs, "id", tokens(), word_vectors(spark, folder, docs), DIM), path)
+    return readers.read_vectors(spark, path, DIM).select(
+        "id", F.posexplode("vec").alias("dim", "value")).withColumn("value", r6("value"))
+
+
 @query
 def nearest_neighbour(spark, folder):
     rows = read_table(spark, folder, "embeddings", "vec_id", "embedding")
@@ -732,12 +742,15 @@ def cv_scores(spark, folder):
 
 @query
 def train_mlp(spark, folder):
-    rows = read_table(spark, folder, "embeddings").select(
-        F.col("vec_id").alias("id"), (F.col("label") >= 5).cast("int").alias("label"),
-        array_to_vector("embedding").alias("features"))
-    model = models.dense_classifier(DIM).fit(rows)
-    return model.transform(rows).select("id", "label", models.positive_score().alias("score"),
-                                        F.col("prediction").cast("int").alias("prediction"))
+    """A dense classifier on the mean vectors of texts, learned from the training part and scored on the rest."""
+    docs = stage(cleaned(spark, folder), "clean")
+    means = features.mean_vector(docs, "id", tokens(), word_vectors(spark, folder, docs), DIM)
+    rows = relational.merge_on_id(means, label_rows(spark, folder)).select(
+        "id", "label", array_to_vector("vec").alias("features"))
+    rows = stage(splits.split_by_fraction(rows, "id", {"test": 0.2}), "vectors")
+    model = models.dense_classifier(DIM).fit(train_part(rows))
+    return model.transform(rows.where(F.col("split") == "test")).select(
+        "id", "label", models.positive_score().alias("score"), F.col("prediction").cast("int").alias("prediction"))
 
 
 @query

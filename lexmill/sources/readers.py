@@ -12,6 +12,8 @@ from lexmill.functions.text import SPACE, strip
 from lexmill.sources.delimited import read_csv
 from lexmill.sources.schemas import EVALUATION, FEATURE, LABEL, NA_STRINGS, RAW_POST
 
+READ_PARTITIONS = "lexmill.read.partitions"
+
 
 def blank_to_null(df: DataFrame, *columns: str) -> DataFrame:
     """Missing-value strings become nulls, as a pandas CSV reader has it."""
@@ -54,10 +56,23 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return _read_pairs(spark, path, LABEL, False)
 
 
+def read_vectors(spark: SparkSession, path: str, dim: int) -> DataFrame:
+    """(id, vec) that ``write_vectors`` has written; a vector of another length fails the query."""
+    wrong = F.raise_error(F.concat(F.lit("wrong length of the vector of id "), F.col("id").cast("string")))
+    df = spark.read.schema("id long, vec array<double>").parquet(path)
+    return df.select("id", F.when(F.size("vec") == dim, F.col("vec")).otherwise(wrong).alias("vec"))
+
+
 def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    """One Parquet table of a data folder, cut to ``columns``."""
+    """One Parquet table of a data folder, cut to ``columns``.
+
+    Where the session sets ``lexmill.read.partitions`` the rows are dealt to so many tasks. That is meant for files of a
+    single row group, which one task reads however many cores there are; by default rows stay where they are.
+    """
     df = spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    n = spark.conf.get(READ_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def read_evaluation(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

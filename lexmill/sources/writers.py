@@ -35,6 +35,12 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_vectors(vectors: DataFrame, path: str) -> None:
+    """(id, vec) as Parquet, so that no row order ties vectors to their rows."""
+    require_columns(vectors, "id", "vec")
+    vectors.select("id", F.col("vec").cast("array<double>").alias("vec")).write.mode("overwrite").parquet(path)
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Metric rows as JSON lines."""
     require_columns(metrics, "metric", "value")
