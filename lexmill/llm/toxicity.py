@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from itertools import islice
 
@@ -12,13 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.common import map_rows, slices
+from lexmill.session import stage
 
 # What stands around a word while it is compressed. Both dictionaries
 # end in it. zstandard stores very short blocks as they are and finds no match in
 # their last bytes, so a bare word would show no difference.
 HEAD, TAIL = b"#0123456789abcdefghijklmnopqrstu#", b"#vwxyz9876543210#"
 FAR = 8  # places from a word to those that make its context
-EVIDENCE = 12.0  # log likelihood ratio from which a word of few texts counts as toxic
 REMEMBERED = 150_000  # words; about 30 MB in a task
 LEVELS = (2, 3, 4, 6)  # bytes that a word must be shorter under the toxic dictionary
 
@@ -133,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_toxic: int = 2_000, rows_ordi
     The sample is the first rows in the order of a hash of the id; its ids are bounded by
     these parameters and so are broadcast. The toxic dictionary takes the words that stand
     in many more toxic than ordinary texts, if in 1 % of the toxic ones or too often for
-    chance (ten of 2,000), and after them the common words of ordinary text, which are
+    chance (a bound that follows from the number of words in the sample), and after them the common words of ordinary text, which are
     the whole of the ordinary dictionary: the two differ by what is toxic alone. Words are
     compressed one by one, so a phrase of ordinary words is not learned. Rows without label or text teach nothing; without any
     toxic (or ordinary) row every score is that of the class there is.
@@ -152,8 +153,9 @@ def train(docs: DataFrame, labels: DataFrame, rows_toxic: int = 2_000, rows_ordi
     share = toxic_rows / max(toxic_rows + ordinary_rows, 1)
     parts = [F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (F.col("t") + F.col("o")) / max(p, 1e-9))).otherwise(0.0)
              for c, p in (("t", share), ("o", 1 - share))]
-    counted = _contexts(sample).withColumn("lift", lift).withColumn("evidence", parts[0] + parts[1])
-    often = (F.col("t") >= toxic_rows / 100) | (F.col("evidence") >= EVIDENCE)
+    counted = stage(_contexts(sample), "contexts").withColumn("lift", lift).withColumn("evidence", parts[0] + parts[1])
+    # A ratio of likelihoods of one over the number of words: by chance alone less than one word in all gets there.
+    often = (F.col("t") >= toxic_rows / 100) | (F.col("evidence") >= math.log(max(counted.count(), 2)))
     telling = (counted.where((F.col("t") >= 3) & often & (F.col("lift") >= 20))
                .orderBy(F.desc("t"), "word").limit(toxic_bytes // 4))
     common = counted.where("o >= 4 and lift <= 2").orderBy(F.desc("o"), "word").limit(ordinary_bytes // 4)
