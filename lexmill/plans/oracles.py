@@ -573,7 +573,7 @@ from turns left join bn on bn.id = turns.id group by turns.id"""
 O["merge_bucketed"] = O["merge_results"]
 O["attach_bucketed"] = O["attach_labels"]
 O["latency_quantiles"] = f"""select day, share, round(value, 6) as value from (
-    select {DAY} as day, unnest([0.5, 0.95, 0.99]) as share, unnest(quantile_cont(value, [0.5, 0.95, 0.99])) as value
+    select {DAY} as day, unnest([0.5, 0.95, 0.99]::double[]) as share, unnest(quantile_cont(value, [0.5, 0.95, 0.99])) as value
     from events group by 1)"""
 O["text_length_quantiles"] = """select unnest([0.0, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0])::double as share,
     round(unnest(quantile_cont(n_chars, [0.0, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0])), 6) as value from documents"""
