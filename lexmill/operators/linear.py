@@ -96,13 +96,17 @@ def gradients(data: Design, state: DataFrame, tasks: Sequence[Task], columns: Se
     return wrong.groupBy("term").agg(*[F.sum(F.col("weight") * F.col(f"e{j}")).alias(f"g{j}") for j in range(len(tasks))])
 
 
-def step(data: Design, state: DataFrame, tasks: Sequence[Task], momentum: float) -> DataFrame:
-    """The state after one proximal step of all tasks, with momentum for the place of the next gradient.
+def step(data: Design, state: DataFrame, tasks: Sequence[Task], momentum: float | Sequence[float] = 0.0) -> DataFrame:
+    """The state after one proximal step of all tasks, with momentum (of each) for the place of the next gradient.
+
+    Beside it stand the weights and places before the step (o0.., u0..).
 
     Each weight goes to the least of the quadratic bound with its penalty: l2 shrinks it, l1 sets it to zero within a margin.
     The loss is the mean over the rows, the penalty strength one over C times their number; the intercept is free.
     """
-    g = gradients(data, state, tasks, [f"v{j}" for j in range(len(tasks))])
+    numbers = range(len(tasks))
+    momenta = [momentum] * len(tasks) if isinstance(momentum, float) else momentum
+    g = gradients(data, state, tasks, [f"v{j}" for j in numbers])
     new = ["term", "d"]
     for j, t in enumerate(tasks):
         n = max(data.learned(t), 1)
@@ -114,35 +118,34 @@ def step(data: Design, state: DataFrame, tasks: Sequence[Task], momentum: float)
             moved = at / (d + strength)
         else:
             raise ValueError(f"unknown penalty: {t.penalty}")
-        new += [F.col(f"w{j}").alias(f"o{j}"), moved.alias(f"w{j}")]
+        new += [F.col(f"w{j}").alias(f"o{j}"), F.col(f"v{j}").alias(f"u{j}"), moved.alias(f"w{j}")]
     moved = state.join(g, "term").select(*new)
-    places = [(F.col(f"w{j}") + momentum * (F.col(f"w{j}") - F.col(f"o{j}"))).alias(f"v{j}") for j in range(len(tasks))]
-    return moved.select("term", "d", *[f"w{j}" for j in range(len(tasks))], *places,
-                        *[f"o{j}" for j in range(len(tasks))])
+    places = [(F.col(f"w{j}") + momenta[j] * (F.col(f"w{j}") - F.col(f"o{j}"))).alias(f"v{j}") for j in numbers]
+    return moved.select("term", "d", *[f"w{j}" for j in numbers], *places, *[f"{c}{j}" for c in "ou" for j in numbers])
 
 
 def run_steps(data: Design, state: DataFrame, tasks: Sequence[Task], steps: int, tol: float = 1e-5,
               done: int = 0) -> tuple[DataFrame, int]:
     """(state, steps taken in all): accelerated proximal gradient until no task moves by more than ``tol``.
 
-    The momentum follows the number of steps and starts anew when the change of some task grows again, which keeps
-    the rate linear for penalised losses. Each step is one written table; one row of it, the greatest changes, is collected.
+    The momentum of a task follows its number of steps and starts anew when a step goes against the one before
+    (B. O'Donoghue and E. Candes, "Adaptive restart for accelerated gradient schemes", 2015). Each step is one written table;
+    one row of it, the size of each task's move and its direction, is collected.
     """
-    names = [f"{c}{j}" for c in "wv" for j in range(len(tasks))]
-    before, age = None, done
+    numbers, ages = range(len(tasks)), [done] * len(tasks)
     for _ in range(steps):
-        made = stage(step(data, state, tasks, age / (age + 3.0)), "state")
-        change = made.agg(*[F.sqrt(F.sum(F.col("d") * F.pow(F.col(f"w{j}") - F.col(f"o{j}"), 2)) / max(data.learned(t), 1)
-                                   ).alias(f"c{j}") for j, t in enumerate(tasks)]).first()
-        state, done, age = made.select("term", "d", *names), done + 1, age + 1
-        change = [c or 0.0 for c in change]
-        if max(change) <= tol:
+        made = stage(step(data, state, tasks, [a / (a + 3.0) for a in ages]), "state")
+        moves = [F.sqrt(F.sum(F.col("d") * F.pow(F.col(f"w{j}") - F.col(f"o{j}"), 2)) / max(data.learned(t), 1)).alias(f"c{j}")
+                 for j, t in enumerate(tasks)]
+        back = [F.sum(F.col("d") * (F.col(f"u{j}") - F.col(f"w{j}")) * (F.col(f"w{j}") - F.col(f"o{j}"))).alias(f"b{j}")
+                for j in numbers]
+        row, done = made.agg(*moves, *back).first(), done + 1
+        again = [(row[f"b{j}"] or 0.0) > 0 for j in numbers]
+        ages = [0 if again[j] else ages[j] + 1 for j in numbers]
+        state = made.select("term", "d", *[f"w{j}" for j in numbers],
+                            *[F.col(f"{'w' if again[j] else 'v'}{j}").alias(f"v{j}") for j in numbers])
+        if max([row[f"c{j}"] or 0.0 for j in numbers]) <= tol:
             break
-        if before is not None and sum(change) > sum(before):
-            age = 0
-            state = state.select("term", "d", *[f"w{j}" for j in range(len(tasks))],
-                                 *[F.col(f"w{j}").alias(f"v{j}") for j in range(len(tasks))])
-        before = change
     return state, done
 
 
