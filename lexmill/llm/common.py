@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from lexmill.session import new_path
 
+# Rows of a batch between the JVM and Python. Whole texts are long: ten thousand of them, Spark's default, take some
+# hundred megabytes on both sides of each task.
+ROWS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
 # A worker forgets its remembered words beyond this number, so its memory is bounded.
 REMEMBERED = 100_000
 
@@ -102,8 +105,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_rows(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
+    """``mapInArrow`` with a function of this package; the session's batches are made smaller if they are larger than that."""
     ship(df.sparkSession)
+    name, rows = ROWS_AT_ONCE
+    if not 0 < int(df.sparkSession.conf.get(name)) <= rows:
+        df.sparkSession.conf.set(name, rows)
     return df.mapInArrow(function, schema)
 
 
