@@ -108,11 +108,48 @@ def test_repeated_passages_go_and_the_rest_stays(spark):
     assert all(after[i] == texts[i] for i in texts if i not in range(1, 6))
 
 
+@pytest.mark.parametrize("passage", ["buy now " * 60, "spam " * 80, "a b c d e f g h " * 20, "aB" * 300,
+                                     "".join(chr(c) for c in np.random.default_rng(4).integers(0x4E00, 0x9FA0, 400))])
+def test_short_periods_and_texts_without_blanks_are_found(spark, passage):
+    one = " ".join(words(6, 50, "ä")) + " " + passage + " " + " ".join(words(7, 50))
+    two = " ".join(words(8, 41)) + " " + passage[:-20] + " " + " ".join(words(9, 50))
+    df = docs_of(spark, [(1, one), (2, two), (3, " ".join(words(10, 300)))])
+    found = substring.repeated_spans(df)
+    assert {r["doc_id"] for r in found.collect()} == {2}
+    after = {r["doc_id"]: r["text"] for r in substring.cut_spans(df, found).collect()}
+    assert len(two) - len(after[2]) > 0.6 * len(passage) and after[1] == one
+    assert after[2].startswith(two[:180]) and after[2].endswith(two[-250:])
+
+
+def test_passages_equal_brute_force(spark):
+    """Each shared run of 51 words is met by a span, and each span's text holds 20 words of an earlier document."""
+    rng = np.random.default_rng(12)
+    pool = [" ".join(words(300 + k, 52)) for k in range(12)]
+    rows = [(i, " ".join([" ".join(words(400 + 3 * i, 40)), *(pool[k] for k in rng.choice(12, 2)),
+                          " ".join(words(401 + 3 * i, 30))])) for i in range(40)]
+    texts = dict(rows)
+    found = substring.repeated_spans(docs_of(spark, rows)).collect()
+    tokens = {i: t.split(" ") for i, t in rows}
+    runs = {n: {i: {" ".join(w[k:k + n]) for k in range(len(w) - n + 1)} for i, w in tokens.items()} for n in (18, 51)}
+    for r in found:
+        inside = texts[r["doc_id"]][r["start"]:r["start"] + r["length"]].split(" ")[1:-1]
+        held = {" ".join(inside[k:k + 18]) for k in range(len(inside) - 17)}
+        assert held and any(held & runs[18][j] for j in range(r["doc_id"]))
+    for i, text in rows:
+        for run in runs[51][i]:
+            if any(run in runs[51][j] for j in range(i)):
+                at = text.index(run)
+                assert any(r["doc_id"] == i and r["start"] < at + len(run) and at < r["start"] + r["length"] for r in found)
+
+
 def test_substring_edges(spark):
     long = " ".join(words(5, 200))
     df = spark.createDataFrame([(1, long, 9, 9, "k"), (1, long, 9, 9, "k"), (2, long, 9, 9, "k")],
                                "doc_id long, text string, start int, length int, _cuts string")
-    assert {r["doc_id"] for r in substring.repeated_spans(df).collect()} == {2}
+    found = substring.repeated_spans(df)
+    assert {r["doc_id"] for r in found.collect()} == {2}
+    clash = df.withColumnRenamed("start", "_id").withColumnRenamed("length", "_text_id")
+    assert [tuple(r)[2:] for r in substring.cut_spans(clash, found).collect()] == [(9, 9, "k")] * 3
     empty = docs_of(spark, [])
     assert substring.repeated_spans(empty).count() == 0
     assert substring.cut_spans(empty, substring.repeated_spans(empty)).count() == 0
