@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +12,8 @@ from lexmill.llm.common import map_rows
 from lexmill.llm.components import connected_components
 from lexmill.session import stage
 
-BLOCK = 128  # rows compared at a time; each row meets its own and at least the next block
+BLOCK = 512  # rows compared at a time; each row meets its own and at least the next block
 PASSES_PER_JOB = 6
-OPEN = 16  # open blocks of a sweep at most, so its memory and time per row are bounded
 MEMBERS = 512  # rows of a block when links inside a component are counted
 
 
@@ -39,13 +39,53 @@ def _pack(batches):
                                          names=["vec_id", "label", "vec"])
 
 
+def _sums(batches):
+    """Sum of the unit vectors and their number per label and size, over the rows of a task."""
+    sums: dict[tuple[str, int], list] = {}
+
+    def out():
+        keys = list(sums)
+        totals = pa.array([sums[k][0].tolist() for k in keys], pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
+             pa.array([sums[k][1] for k in keys], pa.int64()), totals], names=["label", "size", "n", "total"])
+
+    for batch in batches:
+        labels = np.array(batch.column(1).to_pylist(), dtype=object)
+        sizes = np.array([len(v) for v in batch.column(2).to_pylist()])
+        for label, size in sorted(set(zip(labels.tolist(), sizes.tolist()))):
+            rows = np.flatnonzero((labels == label) & (sizes == size))
+            x = _unit(batch.column(2).take(pa.array(rows)))
+            held = sums.setdefault((label, size), [0.0, 0])
+            sums[label, size] = [held[0] + x.sum(axis=0), held[1] + len(x)]
+        if len(sums) > 1_000:  # rare labels go on, so memory is bounded
+            yield out()
+            sums = {}
+    if sums:
+        yield out()
+
+
+def _with_means(vectors: DataFrame) -> DataFrame:
+    """(vec_id, label, vec) with the mean of the unit vectors of equal label and size, as an array."""
+    parts = map_rows(vectors.select("vec_id", "label", "vec"), _sums, "label string, size int, n long, total array<double>")
+    means = (parts.select("label", "size", "n", F.posexplode("total").alias("at", "x"))
+             .groupBy("label", "size", "at").agg((F.sum("x") / F.sum("n")).alias("x"))
+             .groupBy("label", "size").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("mean"))
+             .select("label", "size", F.col("mean.x").alias("mean")))
+    means = stage(means, "means")
+    return vectors.withColumn("size", F.octet_length("vec")).join(means, ["label", "size"]).select(
+        "vec_id", "label", "vec", "mean")
+
+
 def _hashes(passes: list[int], seed: int):
+    """Signs on random planes through the mean of the label, which split its vectors evenly however close they lie."""
+
     def rows(batches):
         for batch in batches:
             raw = batch.column(2)
             for size in sorted({len(v) for v in raw.to_pylist()}):
                 part = batch.filter(pa.array([len(v) == size for v in raw.to_pylist()]))
-                x = _unit(part.column(2))
+                x = _unit(part.column(2)) - part.column(3).flatten().to_numpy().reshape(part.num_rows, -1)
                 for p in passes:
                     planes = np.random.default_rng([seed, p, size]).standard_normal((size // 8, 64))
                     bits = np.packbits(x @ planes > 0, axis=1)
@@ -57,59 +97,131 @@ def _hashes(passes: list[int], seed: int):
     return rows
 
 
+class _Forest:
+    """Links between blocks of one sorted run, reported only if they join what was apart in the run so far."""
+
+    def __init__(self, threshold: float):
+        self.threshold, self.parent = threshold, {}
+
+    def root(self, a: int) -> int:
+        parent = self.parent
+        while parent.setdefault(a, a) != a:
+            parent[a] = parent[parent[a]]
+            a = parent[a]
+        return a
+
+    def links(self, ids, x, to_ids, to_x) -> list[tuple[int, int]]:
+        """A block with itself if both are the same, otherwise all rows of one with all of the other."""
+        close = x @ to_x.T >= self.threshold
+        if ids is to_ids:
+            close &= np.tri(len(ids), k=-1, dtype=bool)
+        out = []
+        for i, j in zip(*(k.tolist() for k in np.nonzero(close))):
+            a, b = self.root(int(ids[i])), self.root(int(to_ids[j]))
+            if a != b:
+                self.parent[max(a, b)] = min(a, b)
+                out.append((int(ids[i]), int(to_ids[j])))
+        return out
+
+
+_FOUND = "u long, v long, boundary int, head boolean, pass int, label string, size int, vec_id long, vec binary"
+_ARROW_FOUND = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("boundary", pa.int32()), ("head", pa.bool_()),
+                          ("pass", pa.int32()), ("label", pa.string()), ("size", pa.int32()), ("vec_id", pa.int64()),
+                          ("vec", pa.binary())])
+
+
 def _sweep(threshold: float):
-    """Compare each row with the following ones in sort order; yield links that join what was apart so far."""
+    """Compare each row with the following ones in sort order; yield links, and the first and last rows of the task.
+
+    A row meets its own and the next block. A block meets further ones as long as each of
+    them joins with it what was apart, so there are at most as many such meetings as links.
+    """
 
     def rows(batches):
-        held_key, held_ids, held = None, np.zeros(0, np.int64), None
-        parent: dict[int, int] = {}
-
-        def root(a: int) -> int:
-            while parent.setdefault(a, a) != a:
-                parent[a] = parent[parent[a]]
-                a = parent[a]
-            return a
-
-        def links(ids, x, to_ids, to_x, same):
-            close = x @ to_x.T >= threshold
-            if same:
-                close &= np.tri(len(ids), k=-1, dtype=bool)
-            out = []
-            for i, j in zip(*np.nonzero(close)):
-                a, b = root(int(ids[i])), root(int(to_ids[j]))
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    out.append((int(ids[i]), int(to_ids[j])))
-            return out, bool(close.any())
+        here = TaskContext.get().partitionId()
+        held_key, blocks, forest = None, [], None
+        pending, n_pending, first = [], 0, True
 
         def found(pairs):
-            u, v = zip(*pairs) if pairs else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+            u, v = zip(*pairs)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(u, pa.int64()), pa.array(v, pa.int64()), *(pa.nulls(len(u), f.type) for f in list(_ARROW_FOUND)[2:])],
+                schema=_ARROW_FOUND)
 
-        # Blocks still open: as long as a block goes on finding links it meets further blocks.
-        open_blocks: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            keys = list(zip(*(batch.column(k).to_pylist() for k in range(3))))
+        def ends(batch, boundary, head):
+            n = batch.num_rows
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.full(n, boundary, np.int32)),
+                 pa.array([head] * n, pa.bool_()), *(batch.column(k) for k in (0, 1, 2, 4, 5))], schema=_ARROW_FOUND)
+
+        def compare(key, ids, x):
+            nonlocal held_key, blocks, forest
+            if key != held_key:
+                held_key, blocks, forest = key, [], _Forest(threshold)
+            pairs, still = forest.links(ids, x, ids, x), []
+            for oi, ox in blocks:
+                more = forest.links(ids, x, oi, ox)
+                pairs += more
+                if more:
+                    still.append((oi, ox))
+            blocks = [*still, (ids, x)]
+            return pairs
+
+        def work(table):
+            keys = list(zip(*(table.column(k).to_pylist() for k in range(3))))
             cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
             for lo, hi in zip(cuts, cuts[1:]):
-                if lo == hi:
+                pairs = compare(keys[lo], table.column(4).slice(lo, hi - lo).to_numpy(),
+                                _unit(table.column(5).slice(lo, hi - lo)))
+                if pairs:
+                    yield found(pairs)
+
+        last = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                pending.append(batch.slice(at, BLOCK))
+                n_pending += pending[-1].num_rows
+                if n_pending < BLOCK:
                     continue
-                if keys[lo] != held_key:
-                    held_key, open_blocks, parent = keys[lo], [], {}
-                ids = batch.column(4).slice(lo, hi - lo).to_numpy()
-                x = _unit(batch.column(5).slice(lo, hi - lo))
-                for at in range(0, len(ids), BLOCK):
-                    bi, bx = ids[at:at + BLOCK], x[at:at + BLOCK]
-                    pairs, _ = links(bi, bx, bi, bx, True)
-                    still = []
-                    for k, (oi, ox) in enumerate(open_blocks):
-                        more, hit = links(bi, bx, oi, ox, False)
-                        pairs += more
-                        if hit and len(open_blocks) - k < OPEN:
-                            still.append((oi, ox))
-                    open_blocks = [*still, (bi, bx)]
-                    if pairs:
-                        yield found(pairs)
+                whole = pa.Table.from_batches(pending).combine_chunks().to_batches()[0]
+                block, rest = whole.slice(0, BLOCK), whole.slice(BLOCK)
+                pending, n_pending = ([rest] if rest.num_rows else []), rest.num_rows
+                if first:
+                    yield ends(block, here, True)
+                    first = False
+                yield from work(block)
+                last = block
+        if n_pending:
+            block = pa.Table.from_batches(pending).combine_chunks().to_batches()[0]
+            if first:
+                yield ends(block, here, True)
+            yield from work(block)
+            if last is not None:
+                block = pa.Table.from_batches([last, block]).combine_chunks().to_batches()[0]
+                block = block.slice(max(0, block.num_rows - BLOCK))
+            last = block
+        if last is not None:
+            yield ends(last, here + 1, False)
+
+    return rows
+
+
+def _meet(threshold: float):
+    """Links between the last rows of one task and the first of the next."""
+
+    def rows(group):
+        forest, pairs = _Forest(threshold), []
+        group = group.combine_chunks()
+        keys = list(zip(*(group.column(c).to_pylist() for c in ("pass", "label", "size"))))
+        head = group.column("head").to_pylist()
+        for key in sorted(set(keys)):
+            sides = [group.take(pa.array([i for i, k in enumerate(keys) if k == key and head[i] is side], pa.int64()))
+                     for side in (False, True)]
+            if all(s.num_rows for s in sides):
+                (ids, x), (to_ids, to_x) = ((s.column("vec_id").to_numpy(), _unit(s.column("vec"))) for s in sides)
+                pairs += forest.links(ids, x, to_ids, to_x)
+        u, v = zip(*pairs) if pairs else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return rows
 
@@ -132,20 +244,20 @@ def _count_links(threshold: float):
 
 def near_duplicate_vectors(df: DataFrame, threshold: float = 0.98, passes: int = 24, seed: int = 11,
                            id_col: str = "vec_id", vector_col: str = "embedding",
-                           label_col: str | None = "label") -> DataFrame:
+                           label_col: str | None = "label", rest: float = 0.001) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row: links are pairs with cosine >= ``threshold``.
 
     Only vectors of equal, non-null label and equal size are compared (all of them if
     ``label_col`` is None). Null, empty and zero vectors and those with null or non-finite
     parts link with nothing. Exact copies are one class: a representative is compared, and
     its links count with the copies. Each pass orders the representatives by the signs on
-    64 random planes and compares neighbours in blocks, going on while a block still finds
-    links; pairs verified in any pass are united. Every pair at the threshold agrees on
-    one sign with probability 0.936, so one pass over 10^9 vectors finds it with about
-    0.2, and 24 passes miss it with 0.004 (below 10^-9 at 10^5 vectors); add passes as
-    tables grow. That holds for vectors spread over all directions: where those of a label
-    lie close together, signs split little and more pairs are missed. ``n_links`` is then counted exactly: links lie inside components, and the
-    members of a component meet block by block; only counts leave a task.
+    64 random planes through the mean of their label and compares neighbours in blocks, over
+    the ends of tasks too; pairs verified in any pass are united. A pass can miss a pair, and
+    how often depends on the number of rows and on how close together they lie, so the number
+    of passes follows what they find: ``passes`` at least, then six at a time until six
+    further ones join no more than the share ``rest`` of all that has been joined.
+    ``n_links`` is then counted exactly: links lie inside components, and the members of a
+    component meet block by block; only counts leave a task.
 
     Repeated ids are taken as one vector each row; an empty table stays empty.
     """
@@ -156,20 +268,35 @@ def near_duplicate_vectors(df: DataFrame, threshold: float = 0.98, passes: int =
     usable = packed.where("vec is not null and vec_id is not null")
     classes = stage(usable.groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")),
                     "classes")
-    vectors = classes.select(F.col("rep").alias("vec_id"), "label", "vec")
-    found = []
-    for at in range(0, passes, PASSES_PER_JOB):
-        hashed = map_rows(
-            vectors, _hashes(list(range(at, min(passes, at + PASSES_PER_JOB))), seed),
-            "pass int, label string, size int, hash binary, vec_id long, vec binary")
+    vectors = _with_means(classes.select(F.col("rep").alias("vec_id"), "label", "vec"))
+
+    def links(at: int) -> DataFrame:
+        hashed = map_rows(vectors, _hashes(list(range(at, at + PASSES_PER_JOB)), seed),
+                          "pass int, label string, size int, hash binary, vec_id long, vec binary")
         order = ["pass", "label", "size", "hash", "vec_id"]
-        swept = map_rows(hashed.repartitionByRange(*order).sortWithinPartitions(*order), _sweep(threshold),
-                         "u long, v long")
-        found.append(stage(swept, "links"))
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.unionByName(more)
+        swept = stage(map_rows(hashed.repartitionByRange(*order).sortWithinPartitions(*order), _sweep(threshold), _FOUND),
+                      "links")
+        # At most two blocks for each boundary between tasks.
+        across = swept.where("boundary is not null").drop("u", "v").groupBy("boundary").applyInArrow(
+            _meet(threshold), "u long, v long")
+        return stage(swept.where("u is not null").select("u", "v").unionByName(across), "links")
+
+    edges, at = links(0), PASSES_PER_JOB
+    while at < passes - PASSES_PER_JOB:
+        edges, at = edges.unionByName(links(at)), at + PASSES_PER_JOB
     parts = stage(connected_components(edges), "components")
+    while True:
+        more, at = links(at), at + PASSES_PER_JOB
+        ends = [parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of")) for c in ("u", "v")]
+        crossing = stage(more.join(ends[0], "u", "left").join(ends[1], "v", "left")
+                         .select(F.coalesce("u_of", "u").alias("u"), F.coalesce("v_of", "v").alias("v"))
+                         .where("u <> v"), "crossing")
+        joined = crossing.select(F.least("u", "v"), F.greatest("u", "v")).distinct().count()
+        if joined:
+            forest = parts.where("node <> component").toDF("u", "v")
+            parts = stage(connected_components(forest.unionByName(crossing)), "components")
+        if joined <= rest * parts.where("node <> component").count():
+            break
     members = stage(parts.join(classes, parts["node"] == classes["rep"])
                     .select("component", F.col("node").alias("vec_id"), "vec", "copies"), "members")
     # Blocks of one component meet each other; a component of one block meets itself.

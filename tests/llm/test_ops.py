@@ -326,6 +326,30 @@ def test_vectors_equal_brute_force(spark):
     assert embeddings.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [3, 40])
+def test_recall_where_the_vectors_of_a_label_lie_close_together(spark, partitions):
+    """Pairs at cosine 0.985 among vectors whose other cosines are 0.9: signs on planes through zero split them little."""
+    rng = np.random.default_rng(21)
+    n, links = 20_000, 1_000
+    x = np.sqrt(0.9) * np.eye(64)[0] + np.sqrt(0.1 / 63) * rng.standard_normal((n, 64)) * (np.arange(64) > 0)
+    twin = rng.standard_normal((links, 64))
+    unit = x[:links] / np.linalg.norm(x[:links], axis=1)[:, None]
+    twin -= np.sum(twin * unit, axis=1)[:, None] * unit
+    twin /= np.linalg.norm(twin, axis=1)[:, None]
+    x = np.vstack([x, 0.985 * unit + np.sqrt(1 - 0.985 ** 2) * twin])
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = sum(int((unit[k:k + 2_000] @ unit.T >= 0.98).sum()) for k in range(0, len(x), 2_000)) - len(x)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>, label int")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        got = embeddings.near_duplicate_vectors(df).agg(F.sum("n_links")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert want >= 2 * links and 0.995 * want <= got <= want
+
+
 # --- 5 and 8 classifiers --------------------------------------------------------------------------
 
 def test_tree_rules_are_paths():
