@@ -146,19 +146,24 @@ def subword_encode(df: DataFrame, row_id: str, text: str, rank_file: str, patter
     def encode(batches):
         import base64
 
+        import pyarrow as pa
         import tiktoken
 
         with open(rank_file, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines)}
         coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        for pdf in batches:
-            found = coder.encode_ordinary_batch(pdf["_text"].tolist(), num_threads=1)
-            yield pdf[[row_id]].assign(ids=[x[:max_length] for x in found])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                # Cut text by text: of a batch only the ids that stay are held.
+                found = [coder.encode_ordinary(x.as_py())[:max_length] for x in some.column(1)]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(found, pa.list_(pa.int32()))],
+                                                 names=[row_id, "ids"])
 
     schema = f"{row_id} {df.schema[row_id].dataType.simpleString()}, ids array<int>"
     # Blank and missing texts count as empty.
     plain = df.select(row_id, F.when(F.trim(text) != "", F.col(text)).otherwise("").alias("_text"))
-    ids = plain.mapInPandas(encode, schema)
+    ids = plain.mapInArrow(encode, schema)
     return ids.select(row_id,
                       pad(F.col("ids"), max_length, F.lit(pad_id)).alias("input_ids"),
                       pad(F.transform("ids", lambda _: F.lit(1)), max_length, F.lit(0)).alias("attention_mask"))
