@@ -3,10 +3,6 @@
 from __future__ import annotations
 
 import gc
-import importlib.util
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.session import new_path
+from lexmill.session import new_path, ship
 
 # Rows of a batch between the JVM and Python. Whole texts are long: ten thousand of them, Spark's default, take some
 # hundred megabytes on both sides of each task.
@@ -86,24 +82,6 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once, so their Python workers can import it."""
-    context = spark.sparkContext
-    if getattr(context, "_lexmill_shipped", False):
-        return
-    top = __name__.partition(".")[0]
-    root = os.path.dirname(os.path.abspath(importlib.util.find_spec(top).origin))
-    path = os.path.join(tempfile.mkdtemp(prefix="lexmill-"), f"{top}.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    out.write(full, os.path.join(top, os.path.relpath(full, root)))
-    context.addPyFile(path)
-    context._lexmill_shipped = True
-
-
 def map_rows(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow`` with a function of this package; the session's batches are made smaller if they are larger than that."""
     ship(df.sparkSession)

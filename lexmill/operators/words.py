@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import clean_words, drop_words, is_valid, keep_long_enough
 from lexmill.operators.corpus import frequent_words, vocabulary
+from lexmill.operators.lookup import by_id, flat_words, known_words, with_entries
 from lexmill.session import stage
 
 # Noun endings and what replaces them, tried in this order.
@@ -35,14 +36,22 @@ def rebuild_text(tokens: DataFrame, row_id: str, word: str = "word", name: str =
 
 def translate_words(df: DataFrame, row_id: str, tokens: Column, table: DataFrame,
                     keep_unknown: bool, name: str = "feature") -> DataFrame:
-    """Replace each word by its entry in ``table`` (word, new_word).
+    """Replace each word by its entry in ``table`` (word, new_word), which holds a word once.
 
-    A word without an entry stays or drops out. Frequent words are a skewed join key:
-    AQE broadcasts a small table and splits the hot partitions for a large one.
+    A word without an entry stays or drops out. One text per id, in position order.
     """
-    found = explode_tokens(df, row_id, tokens).join(table, "word", "left")
-    new = F.coalesce("new_word", "word") if keep_unknown else F.col("new_word")
-    return rebuild_text(found.withColumn("word", new), row_id, name=name)
+    def rebuild(texts, entries):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        rows, places, old, at = flat_words(texts, known_words(entries))
+        new = entries.column("new_word").combine_chunks().cast(pa.string()).take(pa.array(at, mask=at < 0))
+        new = pc.coalesce(new, old) if keep_unknown else new
+        ids, lists = by_id(texts, rows, places, new, new.is_valid().to_numpy(zero_copy_only=False))
+        return pa.table({row_id: ids, name: pc.binary_join(lists, " ")})
+
+    schema = f"`{row_id}` {df.schema[row_id].dataType.simpleString()}, `{name}` string"
+    return with_entries(df, row_id, tokens, table.select("word", "new_word"), rebuild, schema)
 
 
 def keep_vocabulary(df: DataFrame, row_id: str, tokens: Column, allowed: DataFrame,

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import clean_words
-from lexmill.operators import features
+from lexmill.operators import features, words
 
 
 def plan(df):
@@ -16,6 +16,22 @@ def rows(spark):
     return spark.createDataFrame([(1, "a b a c"), (2, ""), (3, None), (4, "c zz")], "id long, feature string")
 
 
+def test_translated_words_meet_the_table_once_a_part(spark):
+    table = spark.createDataFrame([("a", "x"), ("c", "y z"), ("b", None)], "word string, new_word string")
+    for keep, expected in ((True, ["x b x y z", "", "", "y z zz"]), (False, ["x x y z", "", "", "y z"])):
+        out = words.translate_words(rows(spark), "id", tokens(), table, keep)
+        assert "posexplode" not in plan(out)
+        assert [r.feature for r in out.orderBy("id").collect()] == expected
+
+
+def test_rows_of_one_id_and_null_ids_share_a_text(spark):
+    table = spark.createDataFrame([("a", "x")], "word string, new_word string")
+    df = spark.createDataFrame([(1, "a b"), (1, "c d"), (None, "a"), (None, "e")], "id long, feature string")
+    out = {r.id: r.feature for r in words.translate_words(df, "id", tokens(), table, True).collect()}
+    assert sorted(out[1].split()[:2]) == ["c", "x"] and sorted(out[1].split()[2:]) == ["b", "d"]
+    assert sorted(out[None].split()) == ["e", "x"] and len(out) == 2
+
+
 def test_subwords_are_cut_text_by_text(spark, tmp_path):
     import base64
 
