@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.arrays import pad, zeros
 from lexmill.operators.corpus import explode_words
+from lexmill.operators.lookup import by_id, flat_words, known_words, with_entries
 from lexmill.operators.ordered import global_rank
-from lexmill.operators.words import explode_tokens
 
 
 # --- TF-IDF -----------------------------------------------------------------------------------
@@ -123,10 +123,16 @@ def word_index(counts: DataFrame) -> DataFrame:
 
 def token_ids(df: DataFrame, row_id: str, tokens: Column, index: DataFrame) -> DataFrame:
     """(id, ids): the word ids of each text in order; words without an id drop out."""
-    found = explode_tokens(df, row_id, tokens).join(index.select("word", "word_id"), "word", "left")
-    item = F.when(F.col("word_id").isNotNull(), F.struct("pos", "word_id"))
-    return found.groupBy(row_id).agg(
-        F.transform(F.sort_array(F.collect_list(item)), lambda x: x["word_id"]).alias("ids"))
+    def listed(texts, entries):
+        import pyarrow as pa
+
+        rows, places, _, at = flat_words(texts, known_words(entries))
+        found = entries.column("word_id").combine_chunks().cast(pa.int64()).take(pa.array(at, mask=at < 0))
+        ids, lists = by_id(texts, rows, places, found, at >= 0)
+        return pa.table({row_id: ids, "ids": lists})
+
+    schema = f"`{row_id}` {df.schema[row_id].dataType.simpleString()}, ids array<bigint>"
+    return with_entries(df, row_id, tokens, index.select("word", "word_id"), listed, schema)
 
 
 def pad_ids(df: DataFrame, ids: str = "ids", length: int = 300, truncating: str = "pre") -> DataFrame:

@@ -24,6 +24,13 @@ def test_translated_words_meet_the_table_once_a_part(spark):
         assert [r.feature for r in out.orderBy("id").collect()] == expected
 
 
+def test_word_ids_meet_the_index_once_a_part(spark):
+    index = spark.createDataFrame([("a", 7), ("b", 8)], "word string, word_id long")
+    out = features.token_ids(rows(spark), "id", tokens(), index)
+    assert "posexplode" not in plan(out)
+    assert [r.ids for r in out.orderBy("id").collect()] == [[7, 8, 7], [], [], []]
+
+
 def test_rows_of_one_id_and_null_ids_share_a_text(spark):
     table = spark.createDataFrame([("a", "x")], "word string, new_word string")
     df = spark.createDataFrame([(1, "a b"), (1, "c d"), (None, "a"), (None, "e")], "id long, feature string")
