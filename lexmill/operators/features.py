@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.arrays import pad, zeros
 from lexmill.operators.corpus import explode_words
-from lexmill.operators.lookup import by_id, flat_words, known_words, with_entries
+from lexmill.operators.lookup import by_id, distinct_ids, flat_words, known_words, with_entries
 from lexmill.operators.ordered import global_rank
 
 
@@ -97,14 +95,36 @@ def pack_sequence(places: DataFrame, row_id: str) -> DataFrame:
 def mean_vector(df: DataFrame, row_id: str, tokens: Column, vectors: DataFrame, dim: int) -> DataFrame:
     """(id, vec): mean over the known words of a text; zeros when there are none.
 
-    Repeated words of a text are joined once and weighted by their count.
+    A vector goes once to each part of the texts that holds its word, and a part gives one vector per text. Rows of one id
+    share the mean of all their words; a null id has none.
     """
-    known = (term_counts(df, row_id, tokens)
-             .join(vectors.select(F.col("word").alias("term"), array_to_vector("vec").alias("_v")), "term"))
-    mean = Summarizer.metrics("mean").summary(F.col("_v"), F.col("tf").cast("double"))
-    means = known.groupBy(row_id).agg(mean["mean"].alias("_m")).select(row_id, vector_to_array("_m").alias("_a"))
-    return (df.select(row_id).join(means, row_id, "left")
-            .select(row_id, F.coalesce("_a", zeros(dim, "double")).alias("vec")))
+    def mean(texts, entries):
+        import numpy as np
+        import pyarrow as pa
+
+        words, lists = known_words(entries), entries.column("vec").combine_chunks()
+        names = words.unique()
+        codes = words.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        sums = np.zeros((len(names), dim))
+        np.add.at(sums, codes, lists.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, dim))
+        times = np.bincount(codes, minlength=len(names))
+        own, first = distinct_ids(texts)
+        rows, _, _, at = flat_words(texts, names)
+        owner, at = own[rows][at >= 0], at[at >= 0]
+        order = np.argsort(owner, kind="stable")
+        owner, at = owner[order], at[order]
+        total, n = np.zeros((len(first), dim)), np.bincount(owner, weights=times[at], minlength=len(first))
+        ends = np.searchsorted(owner, np.arange(len(first) + 1))
+        for k in np.flatnonzero(n):
+            total[k] = sums[at[ends[k]:ends[k + 1]]].sum(axis=0)
+        ids = texts.column("id").combine_chunks()
+        n[own[ids.is_null().to_numpy(zero_copy_only=False)]] = 0
+        means = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], 0.0)[own]
+        return pa.table({row_id: ids, "vec": pa.ListArray.from_arrays(
+            pa.array(np.arange(len(ids) + 1, dtype=np.int32) * dim), pa.array(means.reshape(-1)))})
+
+    schema = f"`{row_id}` {df.schema[row_id].dataType.simpleString()}, vec array<double>"
+    return with_entries(df, row_id, tokens, vectors.select("word", "vec").where("vec is not null"), mean, schema)
 
 
 def embedding_matrix(index: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:

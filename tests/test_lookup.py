@@ -39,6 +39,13 @@ def test_rows_of_one_id_and_null_ids_share_a_text(spark):
     assert sorted(out[None].split()) == ["e", "x"] and len(out) == 2
 
 
+def test_vectors_go_to_parts_and_not_to_each_word(spark):
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("c", [4.0, 2.0])], "word string, vec array<float>")
+    out = features.mean_vector(rows(spark), "id", tokens(), vectors, 2)
+    assert "Summarizer" not in plan(out) and "FlatMapCoGroupsInArrow" in plan(out)
+    assert [r.vec for r in out.orderBy("id").collect()] == [[2.0, 2.0 / 3], [0.0, 0.0], [0.0, 0.0], [4.0, 2.0]]
+
+
 def test_subwords_are_cut_text_by_text(spark, tmp_path):
     import base64
 
