@@ -46,6 +46,14 @@ def test_vectors_go_to_parts_and_not_to_each_word(spark):
     assert [r.vec for r in out.orderBy("id").collect()] == [[2.0, 2.0 / 3], [0.0, 0.0], [0.0, 0.0], [4.0, 2.0]]
 
 
+def test_tfidf_counts_inside_the_parts(spark):
+    idf = spark.createDataFrame([("a", 1, 1.5), ("c", 2, 1.0)], "term string, df long, idf double")
+    out = features.tfidf(rows(spark), "id", tokens(), idf)
+    assert "FlatMapCoGroupsInArrow" in plan(out)
+    found = {(r.id, r.term): round(r.weight, 9) for r in out.collect()}
+    assert found == {(1, "a"): round(3 / 10 ** 0.5, 9), (1, "c"): round(1 / 10 ** 0.5, 9), (4, "c"): 1.0}
+
+
 def test_subwords_are_cut_text_by_text(spark, tmp_path):
     import base64
 
