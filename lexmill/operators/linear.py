@@ -7,13 +7,14 @@ has to fit on one machine. All points and folds of a search share each scan: a p
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.session import stage, stage_bucketed
+from lexmill.operators import parts
+from lexmill.session import stage
 
 INTERCEPT = ""
 
@@ -32,11 +33,13 @@ class Task:
 class Design:
     """Training rows as they are scanned in each step.
 
-    ``rows`` (id, label, fold, terms) are bucketed by id, so that margins and gradients of a row need no shuffle;
-    ``curvature`` (term, d) bounds the second derivative of the summed loss in each term.
+    ``rows`` (part, id, label, fold, at, weight) and ``links`` (of, term, place) are bucketed by part, so that margins and
+    gradients of a part's rows need no shuffle and only its distinct terms meet the weights; ``curvature`` (term, d) bounds
+    the second derivative of the summed loss in each term.
     """
 
     rows: DataFrame
+    links: DataFrame
     curvature: DataFrame
     counts: dict[int, int]
 
@@ -51,18 +54,14 @@ def design(features: DataFrame, labels: DataFrame, row_id: str = "id", label: st
     A repeated term of a row counts with the sum of its weights. The bound on the curvature is that of separable
     surrogates: a quarter of the sum over the rows of a term's size times the sizes of all terms in the row.
     """
-    marks = labels.select(F.col(row_id).alias("id"), F.col(label).cast("int").alias("label"),
-                          (F.col(fold) if fold else F.lit(0)).cast("int").alias("fold"))
-    packed = features.groupBy(F.col(row_id).alias("id"), "term").agg(F.sum("weight").alias("weight")).groupBy("id").agg(
-        F.collect_list(F.struct("term", F.col("weight").cast("double").alias("weight"))).alias("terms"))
-    one = F.array(F.struct(F.lit(INTERCEPT).alias("term"), F.lit(1.0).alias("weight")))
-    terms = F.when(F.col("terms").isNull(), one).otherwise(F.concat(one, "terms"))
-    rows = stage_bucketed(marks.join(packed, "id", "left").withColumn("terms", terms), "design", ["id"], buckets)
-    size = F.aggregate("terms", F.lit(0.0), lambda acc, x: acc + F.abs(x["weight"]))
-    entries = rows.select(size.alias("size"), F.inline("terms"))
-    curvature = entries.groupBy("term").agg((0.25 * F.sum(F.abs("weight") * F.col("size"))).alias("d"))
+    packed, _ = parts.pack(features, labels, row_id, label, fold, buckets)
+    rows, terms = parts.rows_of(packed), parts.terms_of(packed)
+    links = terms.select("part", "first", F.posexplode(F.arrays_zip("terms", "size")).alias("k", "x")).select(
+        F.col("part").alias("of"), F.col("x.terms").alias("term"), F.greatest(F.col("first") + F.col("k"), F.lit(-1)).alias("place"),
+        F.col("x.size").alias("size"))
+    curvature = links.groupBy("term").agg((0.25 * F.sum("size")).alias("d"))
     counts = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}
-    return Design(rows, stage(curvature.where("d > 0"), "curvature"), counts)
+    return Design(rows, links.drop("size"), stage(curvature.where("d > 0"), "curvature"), counts)
 
 
 def start_state(data: Design, tasks: Sequence[Task]) -> DataFrame:
@@ -71,29 +70,52 @@ def start_state(data: Design, tasks: Sequence[Task]) -> DataFrame:
     return data.curvature.select("term", "d", *zeros)
 
 
-def margins(data: Design, state: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(id, m0..): the margin of every row under each of the weight columns."""
-    entries = data.rows.select("id", F.inline("terms")).join(state.select("term", *columns), "term")
-    return entries.groupBy("id").agg(*[F.sum(F.col("weight") * F.col(c)).alias(f"m{j}") for j, c in enumerate(columns)])
+def _meet(data: Design, state: DataFrame, columns: Sequence[str], apply: Callable, schema: str) -> DataFrame:
+    """``apply`` on the rows of each part and what the weight columns hold for its terms."""
+    entries = data.links.join(state.select("term", *columns), "term")
+    return data.rows.groupBy("part").cogroup(entries.groupBy("of")).applyInArrow(apply, schema)
 
 
-def _probability(margin: Column) -> Column:
-    return 1 / (1 + F.exp(-margin))
+def _margins(rows, entries, columns):
+    """(place of each term, row and term and weight of each entry of the rows, a margin of each row for each column)."""
+    import numpy as np
 
-
-def _learns(task: Task) -> Column:
-    return F.lit(True) if task.fold is None else F.col("fold") != task.fold
+    place = entries.column("place").to_numpy().astype(np.int64)
+    n, row, at, weight = parts.entries_of(rows)
+    known, found = place >= 0, []
+    for c in columns:
+        w = entries.column(c).to_numpy()
+        held = np.zeros(max(int(at.max(initial=-1)), int(place.max(initial=-1))) + 1)
+        held[place[known]] = w[known]
+        found.append(np.bincount(row, weights=weight * held[at], minlength=n) + w[~known].sum())
+    return place, row, at, weight, found
 
 
 def gradients(data: Design, state: DataFrame, tasks: Sequence[Task], columns: Sequence[str]) -> DataFrame:
     """(term, g0..): the gradient of the summed loss of each task at its column, from one scan for all.
 
-    Partial sums per term are combined in each task before they are shuffled.
+    A part gives one sum for each of its terms; only those are shuffled.
     """
-    errors = [F.when(_learns(t), _probability(F.col(f"m{j}")) - F.col("label")).otherwise(0.0).alias(f"e{j}")
-              for j, t in enumerate(tasks)]
-    wrong = margins(data, state, columns).join(data.rows, "id").select(F.inline("terms"), *errors)
-    return wrong.groupBy("term").agg(*[F.sum(F.col("weight") * F.col(f"e{j}")).alias(f"g{j}") for j in range(len(tasks))])
+    columns = list(columns)
+
+    def slopes(rows, entries):
+        import numpy as np
+        import pyarrow as pa
+
+        place, row, at, weight, margins = _margins(rows, entries, columns)
+        label, fold, out = parts.floats(rows.column("label")), parts.floats(rows.column("fold")), {"term": entries.column("term")}
+        for j, (t, m) in enumerate(zip(tasks, margins)):
+            learns = ~np.isnan(label) & ((t.fold is None) | ~np.isnan(fold) & (fold != t.fold))
+            wrong = np.where(learns, parts.probability(m) - label, 0.0)
+            sums = np.bincount(at, weights=weight * wrong[row], minlength=int(place.max(initial=-1)) + 1)
+            g = np.full(len(place), wrong.sum())
+            g[place >= 0] = sums[place[place >= 0]]
+            out[f"g{j}"] = pa.array(g)
+        return pa.table(out)
+
+    names = [f"g{j}" for j in range(len(tasks))]
+    partial = _meet(data, state, columns, slopes, "term string, " + ", ".join(f"{g} double" for g in names))
+    return partial.groupBy("term").agg(*[F.sum(g).alias(g) for g in names])
 
 
 def step(data: Design, state: DataFrame, tasks: Sequence[Task], momentum: float | Sequence[float] = 0.0) -> DataFrame:
@@ -176,17 +198,26 @@ def word_weights(weights: DataFrame, k: int = 10) -> DataFrame:
 
 def fold_scores(data: Design, state: DataFrame, tasks: Sequence[Task]) -> list[tuple[float, float]]:
     """(accuracy, log loss) of each task on the rows of the fold that it does not know; one scan for all."""
-    scored = margins(data, state, [f"w{j}" for j in range(len(tasks))]).join(
-        data.rows.select("id", "label", "fold"), "id")
-    columns = []
-    for j, t in enumerate(tasks):
-        m = F.col(f"m{j}")
-        held = F.lit(True) if t.fold is None else F.col("fold") == t.fold
-        signed = F.when(F.col("label") == 1, -m).otherwise(m)
-        loss = F.greatest(signed, F.lit(0.0)) + F.log1p(F.exp(-F.abs(signed)))
-        columns += [F.avg(F.when(held, ((m > 0).cast("int") == F.col("label")).cast("double"))), F.avg(F.when(held, loss))]
-    found = list(scored.agg(*[c.alias(f"s{k}") for k, c in enumerate(columns)]).first())
-    return [(found[2 * j], found[2 * j + 1]) for j in range(len(tasks))]
+    columns = [f"w{j}" for j in range(len(tasks))]
+
+    def scores(rows, entries):
+        import numpy as np
+        import pyarrow as pa
+
+        margins = _margins(rows, entries, columns)[-1]
+        label, fold, found = parts.floats(rows.column("label")), parts.floats(rows.column("fold")), []
+        for j, (t, m) in enumerate(zip(tasks, margins)):
+            held = np.full(len(m), True) if t.fold is None else fold == t.fold
+            known = held & ~np.isnan(label)
+            signed = np.where(label == 1, -m, m)
+            loss = np.maximum(signed, 0) + np.log1p(np.exp(-np.abs(signed)))
+            found.append((j, int(known.sum()), int(((m > 0) == label)[known].sum()), int(held.sum()), float(loss[held].sum())))
+        return pa.table({c: pa.array(x) for c, x in zip(("task", "n", "hits", "held", "loss"), zip(*found))})
+
+    made = _meet(data, state, columns, scores, "task long, n long, hits long, held long, loss double")
+    sums = made.groupBy("task").agg(*[F.sum(c).alias(c) for c in ("n", "hits", "held", "loss")])
+    found = {r["task"]: (r["hits"] / r["n"] if r["n"] else None, r["loss"] / r["held"] if r["held"] else None) for r in sums.collect()}
+    return [found.get(j, (None, None)) for j in range(len(tasks))]
 
 
 def search(features: DataFrame, labels: DataFrame, points: Sequence[Mapping], fold: str = "fold",
