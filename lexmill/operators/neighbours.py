@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lexmill.session import stage
 
 SLACK = 1e-6  # similarity by which a bound may be off through rounding
+BLOCK_ROWS = 16_384  # rows to a ring, on average: each query that asks one is sent there
+SLICE = 512  # queries that meet a block at once
 
 
 def choose_pivots(table: DataFrame, row_id: str, vec: str, pivots: int = 64, sample_rows: int = 4096):
@@ -70,26 +72,31 @@ def _best_in_block(left, right):
         return pa.table({"id": left.column("id").slice(0, 0), "neighbour": left.column("id").slice(0, 0),
                          "similarity": pa.array([], pa.float64())})
     right = right.sort_by("id")
-    t = right.column("id").to_numpy()
-    scores = np.round(matrix(left) @ matrix(right).T, 12)
-    scores[q[:, None] == t[None, :]] = -np.inf
-    at = scores.argmax(axis=1)
-    best = scores[np.arange(len(at)), at]
-    ok = np.isfinite(best)
-    return pa.table({"id": pa.array(q[ok]), "neighbour": pa.array(t[at][ok]), "similarity": pa.array(best[ok])})
-
-
-def _meet(pairs: DataFrame, blocks: DataFrame, kind: str, block_rows: int) -> DataFrame:
-    """(id, neighbour, similarity) of pairs (id, unit, cell, ring) with the rows of their blocks.
-
-    A block that many queries ask is dealt out to several tasks, so no group grows with the queries.
+    t, vectors = right.column("id").to_numpy(), matrix(right).T
+    asked, found = matrix(left), []
+    for start in range(0, len(q), SLICE):
+        ids = q[start:start + SLICE]
+        scores = np.round(asked[start:start + SLICE] @ vectors, 12)
+        scores[ids[:, None] == t[None, :]] = -np.inf
+        at = scores.argmax(axis=1)
+        best = scores[np.arange(len(at)), at]
+        ok = np.isfinite(best)
+        found.append(pa.table({"id": pa.array(ids[ok]), "neighbour": pa.array(t[at][ok]), "similarity": pa.array(best[ok])}))
+    return pa.concat_tables(found)
+
+
+def _meet(pairs: DataFrame, asked: DataFrame, blocks: DataFrame, kind: str, block_rows: int) -> DataFrame:
+    """(id, neighbour, similarity) of pairs (id, cell, ring) of the rows ``asked`` with the rows of their blocks.
+
+    A block that many queries ask is dealt out to several tasks, so no group grows with the queries. The vectors join
+    only here, so a pair carries one to its block once.
     """
     parts = pairs.groupBy("cell", "ring").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
     parts = stage(parts, "parts")
-    asked = pairs.join(parts, ["cell", "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    dealt = pairs.join(parts, ["cell", "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     held = blocks.join(parts, ["cell", "ring"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     keys = ["cell", "ring", "part"]
-    return asked.select(*keys, "id", "unit").groupBy(*keys).cogroup(
+    return dealt.select(*keys, "id").join(asked.select("id", "unit"), "id").groupBy(*keys).cogroup(
         held.select(*keys, "id", "unit").groupBy(*keys)).applyInArrow(
         _best_in_block, f"id {kind}, neighbour {kind}, similarity double")
 
@@ -104,7 +111,7 @@ def _reach(gap: Column, low: Column, high: Column) -> Column:
     return F.greatest(gap - high, low - gap, F.lit(0.0))
 
 
-def neighbour_search(queries: DataFrame, table: DataFrame, row_id: str, vec: str, block_rows: int = 4096,
+def neighbour_search(queries: DataFrame, table: DataFrame, row_id: str, vec: str, block_rows: int = BLOCK_ROWS,
                      pivots: int | None = None) -> tuple[DataFrame, DataFrame]:
     """((id, neighbour, similarity), (round, products)): exact search, and how many products it took.
 
@@ -170,23 +177,23 @@ def neighbour_search(queries: DataFrame, table: DataFrame, row_id: str, vec: str
     rings = stage(blocks.groupBy("cell", "band", "ring").agg(
         F.min("gap").alias("low"), F.max("gap").alias("high"), F.count("*").alias("n")), "rings")
     first = stage(banded(asked).join(rings.select("cell", "band", "ring"), ["cell", "band"]).select(
-        "id", "unit", "cell", "ring"), "first")
-    one = stage(_best(_meet(first, blocks, kind, block_rows).unionByName(zero_found)), "round-one")
+        "id", "cell", "ring"), "first")
+    one = stage(_best(_meet(first, asked, blocks, kind, block_rows).unionByName(zero_found)), "round-one")
     limit = F.coalesce("similarity", F.lit(-1.0)) - SLACK
     gaps = blocks.select("cell", F.posexplode("gaps").alias("pivot", "g")).groupBy("cell", "pivot").agg(
         F.min("g").alias("low"), F.max("g").alias("high"))
     bounds = stage(gaps.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("pivot", "low", "high"))).alias("b")), "bounds")
     # All cells' bounds are one row of pivots squared; each query keeps the cells that its bounds leave open.
     whole = bounds.agg(F.collect_list(F.struct("cell", "b")).alias("cells"))
-    asked = asked.join(one.select("id", "similarity"), "id", "left").withColumn("limit", limit)
+    bound = asked.join(one.select("id", "similarity"), "id", "left").withColumn("limit", limit)
     reach = F.aggregate(F.zip_with("gaps", "c.b", lambda g, b: _reach(g, b["low"], b["high"])), F.lit(0.0), lambda a, x: F.greatest(a, x))
-    open_cells = (asked.select("id", "unit", "gaps", "limit", F.explode(whole.scalar()).alias("c"))
+    open_cells = (bound.select("id", "gaps", "limit", F.explode(whole.scalar()).alias("c"))
                   .where(1 - reach * reach / 2 >= F.col("limit"))
-                  .select("id", "unit", "limit", F.col("c.cell").alias("cell"), F.get("gaps", F.col("c.cell")).alias("gap")))
+                  .select("id", "limit", F.col("c.cell").alias("cell"), F.get("gaps", F.col("c.cell")).alias("gap")))
     near = _reach(F.col("gap"), F.col("low"), F.col("high"))
-    second = open_cells.join(rings.drop("band"), "cell").where(1 - near * near / 2 >= F.col("limit")).select("id", "unit", "cell", "ring")
-    second = stage(second.join(first.select("id", "cell", "ring"), ["id", "cell", "ring"], "left_anti"), "second")
-    two = _meet(second, blocks, kind, block_rows)
+    second = open_cells.join(rings.drop("band"), "cell").where(1 - near * near / 2 >= F.col("limit")).select("id", "cell", "ring")
+    second = stage(second.join(first, ["id", "cell", "ring"], "left_anti"), "second")
+    two = _meet(second, asked, blocks, kind, block_rows)
     best = _best(one.select("id", "neighbour", "similarity").unionByName(two))
     work = None
     for k, pairs in ((1, first), (2, second)):
@@ -197,7 +204,7 @@ def neighbour_search(queries: DataFrame, table: DataFrame, row_id: str, vec: str
 
 
 def nearest_neighbours(queries: DataFrame, table: DataFrame, row_id: str, vec: str, min_similarity: float = -1.0,
-                       block_rows: int = 4096, pivots: int | None = None) -> DataFrame:
+                       block_rows: int = BLOCK_ROWS, pivots: int | None = None) -> DataFrame:
     """(id, neighbour, similarity): the closest other row of ``table`` for each query row.
 
     Similarities are rounded to 12 digits, ties go to the smaller id.
