@@ -77,18 +77,23 @@ def _meet(data: Design, state: DataFrame, columns: Sequence[str], apply: Callabl
 
 
 def _margins(rows, entries, columns):
-    """(place of each term, row and term and weight of each entry of the rows, a margin of each row for each column)."""
+    """(place of each term, row and term and weight of each entry, whether a row has an id, margins of the rows for each column).
+
+    A margin is that of an id, over all its rows; rows with a null id are not learned from.
+    """
     import numpy as np
 
     place = entries.column("place").to_numpy().astype(np.int64)
     n, row, at, weight = parts.entries_of(rows)
+    ids = parts.one(rows.column("id")).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
     known, found = place >= 0, []
     for c in columns:
-        w = entries.column(c).to_numpy()
+        w = np.nan_to_num(parts.floats(entries.column(c)))
         held = np.zeros(max(int(at.max(initial=-1)), int(place.max(initial=-1))) + 1)
         held[place[known]] = w[known]
-        found.append(np.bincount(row, weights=weight * held[at], minlength=n) + w[~known].sum())
-    return place, row, at, weight, found
+        margin = np.bincount(row, weights=weight * held[at], minlength=n) + w[~known].sum()
+        found.append(np.bincount(ids, weights=margin)[ids])
+    return place, row, at, weight, parts.one(rows.column("id")).is_valid().to_numpy(zero_copy_only=False), found
 
 
 def gradients(data: Design, state: DataFrame, tasks: Sequence[Task], columns: Sequence[str]) -> DataFrame:
@@ -102,15 +107,18 @@ def gradients(data: Design, state: DataFrame, tasks: Sequence[Task], columns: Se
         import numpy as np
         import pyarrow as pa
 
-        place, row, at, weight, margins = _margins(rows, entries, columns)
+        place, row, at, weight, with_id, margins = _margins(rows, entries, columns)
         label, fold, out = parts.floats(rows.column("label")), parts.floats(rows.column("fold")), {"term": entries.column("term")}
         for j, (t, m) in enumerate(zip(tasks, margins)):
-            learns = ~np.isnan(label) & ((t.fold is None) | ~np.isnan(fold) & (fold != t.fold))
-            wrong = np.where(learns, parts.probability(m) - label, 0.0)
+            learns = with_id & ((t.fold is None) | ~np.isnan(fold) & (fold != t.fold))
+            # As in a sum over entries: a label that is null says nothing, and a term without any other has no gradient.
+            says = with_id & ~(learns & np.isnan(label))
+            wrong = np.where(learns & says, parts.probability(m) - label, 0.0)
             sums = np.bincount(at, weights=weight * wrong[row], minlength=int(place.max(initial=-1)) + 1)
-            g = np.full(len(place), wrong.sum())
-            g[place >= 0] = sums[place[place >= 0]]
-            out[f"g{j}"] = pa.array(g)
+            heard = np.bincount(at, weights=says[row], minlength=int(place.max(initial=-1)) + 1)
+            g, silent = np.full(len(place), wrong.sum()), np.full(len(place), not says.any())
+            g[place >= 0], silent[place >= 0] = sums[place[place >= 0]], heard[place[place >= 0]] == 0
+            out[f"g{j}"] = pa.array(g, mask=silent)
         return pa.table(out)
 
     names = [f"g{j}" for j in range(len(tasks))]
@@ -204,14 +212,14 @@ def fold_scores(data: Design, state: DataFrame, tasks: Sequence[Task]) -> list[t
         import numpy as np
         import pyarrow as pa
 
-        margins = _margins(rows, entries, columns)[-1]
+        *_, with_id, margins = _margins(rows, entries, columns)
         label, fold, found = parts.floats(rows.column("label")), parts.floats(rows.column("fold")), []
         for j, (t, m) in enumerate(zip(tasks, margins)):
-            held = np.full(len(m), True) if t.fold is None else fold == t.fold
+            held = with_id if t.fold is None else with_id & (fold == t.fold)
             known = held & ~np.isnan(label)
             signed = np.where(label == 1, -m, m)
             loss = np.maximum(signed, 0) + np.log1p(np.exp(-np.abs(signed)))
-            found.append((j, int(known.sum()), int(((m > 0) == label)[known].sum()), int(held.sum()), float(loss[held].sum())))
+            found.append((j, int(known.sum()), int(((m > 0) == label)[known].sum()), int(held.sum()), float(np.where(held, loss, 0.0).sum())))
         return pa.table({c: pa.array(x) for c, x in zip(("task", "n", "hits", "held", "loss"), zip(*found))})
 
     made = _meet(data, state, columns, scores, "task long, n long, hits long, held long, loss double")

@@ -1,5 +1,7 @@
 """Rows packed by parts: what a pass over them shuffles, odd ids and the sums of a step."""
 
+import math
+
 from lexmill.operators import linear
 
 
@@ -22,6 +24,17 @@ def test_repeated_and_null_ids(spark):
     data = linear.design(f, y, buckets=2)
     tasks = [linear.Task("l2", 1.0)]
     got = {r["term"]: r["g0"] for r in linear.gradients(data, linear.start_state(data, tasks), tasks, ["v0"]).collect()}
-    assert got == {"a": -2.0, "b": 1.5, "": -0.5}
+    assert got == {"a": -2.0, "b": 1.5, "": 0.0}
     curve = {r["term"]: r["d"] for r in data.curvature.collect()}
     assert curve == {"a": 0.25 * 2 * 2 * 3, "b": 0.25 * 3 * 4, "": 0.25 * (3 + 3 + 4 + 1 + 1)}
+
+
+def test_margins_of_repeated_ids_and_null_labels(spark):
+    """As a sum over all entries of an id gives them."""
+    f = spark.createDataFrame([(1, "a", 1.0), (2, "b", 1.0), (3, "b", 1.0)], "id long, term string, weight double")
+    y = spark.createDataFrame([(1, 1), (1, 0), (2, None), (3, None)], "id long, label int")
+    data = linear.design(f, y, buckets=2)
+    state = data.curvature.selectExpr("term", "d", "case term when 'a' then 0.5 when '' then 0.25 end as v0", "0.0d as w0")
+    got = {r["term"]: r["g0"] for r in linear.gradients(data, state, [linear.Task("l2", 1.0)], ["v0"]).collect()}
+    p = 1 / (1 + math.exp(-1.5))
+    assert got["b"] is None and abs(got["a"] - (2 * p - 1)) < 1e-12 and abs(got[""] - (2 * p - 1)) < 1e-12
