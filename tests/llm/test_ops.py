@@ -551,6 +551,72 @@ def test_a_large_benchmark_goes_block_by_block(spark, monkeypatch):
     assert got == {(i, i) for i in range(20)}
 
 
+def test_word_and_shingle_hashes_follow_the_words_of_each_text(monkeypatch):
+    texts = [None, "", " .,", "a", "One one ONE_1", "ΑΣ Σ. ΑΣ, İstanbul straße STRASSE", "e\u0301 é ñ 中文 ١٢ 😀x\x00y", "tail",
+             "ab ba abab baba aab", "x" * 700 + " y " + "x" * 701, *(" ".join(words(k, 3 * k)) for k in range(30)), "\n", "end"]
+    for at_once in (decontaminate.AT_ONCE, 40):
+        monkeypatch.setattr(decontaminate, "AT_ONCE", at_once)
+        flat, own = decontaminate.text_words(texts)
+        listed = [decontaminate.words(t) for t in texts]
+        assert own.tolist() == [len(ws) for ws in listed]
+        assert flat.tolist() == common.word_hashes([w.encode() for ws in listed for w in ws]).tolist()
+        for width in (1, 2, 5):
+            flat, own = decontaminate.text_shingles(texts, width)
+            runs = [[tuple(ws[i:i + width]) for i in range(max(1, len(ws) - width + 1))] if ws else [] for ws in listed]
+            assert own.tolist() == [len(r) for r in runs]
+            pairs = set(zip(flat.tolist(), (x for r in runs for x in r)))
+            assert len(pairs) == len({h for h, _ in pairs}) == len({x for _, x in pairs})
+    for none in ([], [None], ["", " "]):
+        assert [len(decontaminate.text_words(none)[0]), *decontaminate.text_shingles(none, 5)[1]] == [0] * (len(none) + 1)
+
+
+@pytest.mark.parametrize("lengths", [[5, 6, 9, 30, 31, 70, 300], [2, 40], [90]])
+def test_proposals_equal_minhash_by_definition(monkeypatch, lengths):
+    items = [(k, " ".join(words(k, n))) for k, n in enumerate(lengths * 4)]
+    texts = ["", None, "w1"]
+    texts += [" ".join(words(50 + k, 9 * k) + items[k % len(items)][1].split()[:60] + words(90 + k, k)) for k in range(40)]
+    index = decontaminate.Index(items, 16, 5, 5)
+    flat, own = decontaminate.text_shingles(texts, 5)
+
+    def signature(h):
+        return {int((h * f).min()) for f in index.factors}
+
+    def of(text):
+        return decontaminate.text_shingles([text], 5)[0]
+
+    want = collections.defaultdict(set)
+    for k, h in enumerate(np.split(flat, np.cumsum(own)[:-1])):
+        for key, (_, text) in enumerate(items):
+            size = 1 << (len(of(text)) - 1).bit_length()
+            for at in range(0, len(h), size):
+                if signature(of(text)) & signature(h[at:at + 2 * size]):
+                    want[k].add(key)
+    for minima in (decontaminate.MINIMA, 1):
+        monkeypatch.setattr(decontaminate, "MINIMA", minima)
+        assert index.candidates(flat, own) == want and len(want) > 20
+
+
+def test_search_makes_no_call_for_each_word():
+    import sys
+
+    vocabulary = words(1, 300)
+    texts = [" ".join(np.random.default_rng(k).choice(vocabulary, 400)) for k in range(400)]
+    index = decontaminate.Index([(k, " ".join(words(1000 + k, 15 + k % 50))) for k in range(200)], 64, 5, 5)
+    decontaminate._search(index, texts[:1], 0.8)
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        decontaminate._search(index, texts, 0.8)
+    finally:
+        sys.setprofile(None)
+    assert calls < 400 * 400 / 4
+
+
 # --- 10 chat --------------------------------------------------------------------------------------
 
 def test_chat_round_trip(spark):
