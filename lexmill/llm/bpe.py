@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lexmill.llm.common import map_rows, slices
+from lexmill.llm.common import map_rows, slices, worker_memory
 
 REMEMBERED_BYTES = 48 << 20  # of words and their ids in a worker, counted roughly
 # Scripts in which all Unicode versions agree on letters, digits, white space and lower case.
@@ -207,11 +207,11 @@ class WordEncoder:
         return b"".join(self.special.get(part) or self._plain(part) for part in self.cut.split(text) if part)
 
 
-_ENCODERS: dict[int, WordEncoder] = {}
+_ENCODERS: dict[int, WordEncoder] = worker_memory({})
 
 
 def word_encoder(tokenizer_json: str) -> WordEncoder:
-    """One encoder in a worker."""
+    """One encoder in a worker, until it turns to another module's tasks."""
     key = hash(tokenizer_json)
     if key not in _ENCODERS:
         _ENCODERS.clear()

@@ -19,6 +19,22 @@ ROWS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
 # A worker forgets its remembered words beyond this number, so its memory is bounded.
 REMEMBERED = 100_000
 
+_MEMORIES: list[dict] = []  # what this worker remembers from one task to the next
+_LAST = [""]  # the module whose task it ran last
+
+
+def worker_memory(known: dict) -> dict:
+    """``known``, emptied when the worker turns to the tasks of another module: workers outlive the stages."""
+    _MEMORIES.append(known)
+    return known
+
+
+def begin(module: str) -> None:
+    if _LAST[0] != module:
+        for known in _MEMORIES:
+            known.clear()
+        _LAST[0] = module
+
 
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembered within bounds."""
@@ -30,7 +46,7 @@ class WordHashes(dict):
         return value
 
 
-_HASHES = WordHashes()
+_HASHES = worker_memory(WordHashes())
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -82,13 +98,37 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what Arrow holds of earlier ones goes back to the system, and does not stay with an idle worker."""
+    try:
+        for batch in batches:
+            yield batch
+            del batch
+            pa.default_memory_pool().release_unused()
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
+def _forgetting(function: Callable) -> Callable:
+    module = function.__module__
+
+    def rows(batches):
+        begin(module)
+        yield from function(given_back(batches))
+
+    return rows
+
+
 def map_rows(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with a function of this package; the session's batches are made smaller if they are larger than that."""
+    """``mapInArrow`` with a function of this package; the session's batches are made smaller if they are larger than that.
+
+    A worker keeps no more than the memory of one module's tasks.
+    """
     ship(df.sparkSession)
     name, rows = ROWS_AT_ONCE
     if not 0 < int(df.sparkSession.conf.get(name)) <= rows:
         df.sparkSession.conf.set(name, rows)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_forgetting(function), schema)
 
 
 def release(spark: SparkSession) -> None:

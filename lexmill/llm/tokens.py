@@ -10,6 +10,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 from lexmill.llm.bpe import byte_symbols
+from lexmill.llm.common import worker_memory
 
 # Fixed value: the split that byte-level BPE of this family makes before it merges is
 # 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
@@ -81,11 +82,11 @@ class Encoder:
         return [np.frombuffer(ids, dtype="<u4") for ids in self.packed(texts)]
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[int, Encoder] = worker_memory({})
 
 
 def encoder(tokenizer_json: str) -> Encoder:
-    """One encoder for each tokenizer in a worker."""
+    """One encoder for each tokenizer in a worker, until it turns to another module's tasks."""
     key = hash(tokenizer_json)
     if key not in _ENCODERS:
         _ENCODERS.clear()

@@ -41,6 +41,32 @@ def roots(pairs, nodes):
 
 # --- helpers ------------------------------------------------------------------------------------
 
+def test_a_worker_forgets_what_other_operators_remembered(spark):
+    docs = spark.range(64, numPartitions=8).select(F.col("id").alias("doc_id"), F.lit("some words of a text").alias("text"))
+    pieces = packing.token_pieces(docs, queries.byte_bpe())
+
+    def held(module):
+        def rows(batches):
+            import os
+
+            from lexmill.llm import common as worker, tokens as encoders
+
+            n = sum(b.num_rows for b in batches)
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()]), pa.array([len(encoders._ENCODERS)]),
+                                              pa.array([n]), pa.array([len(worker._HASHES)])],
+                                             names=["pid", "encoders", "n", "hashes"])
+        rows.__module__ = module
+        found = common.map_rows(docs, rows, "pid long, encoders long, n long, hashes long").collect()
+        assert sum(r["n"] for r in found) == 64
+        return {r["pid"]: (r["encoders"], r["hashes"]) for r in found}
+
+    assert pieces.count() == 64
+    same = held("lexmill.llm.packing")
+    assert (1, 0) in same.values()  # workers are reused, and an operator's own tasks find what it remembered
+    other = held("lexmill.llm.substring")
+    assert set(same) & set(other) and set(other.values()) == {(0, 0)}
+
+
 def test_components_of_a_long_path_a_star_and_repeats(spark):
     path = [(i, i + 1) for i in range(1, 60)]
     star = [(1000 + i, 1000) for i in range(1, 200)]
