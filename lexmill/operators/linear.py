@@ -54,7 +54,7 @@ def design(features: DataFrame, labels: DataFrame, row_id: str = "id", label: st
     A repeated term of a row counts with the sum of its weights. The bound on the curvature is that of separable
     surrogates: a quarter of the sum over the rows of a term's size times the sizes of all terms in the row.
     """
-    packed, _ = parts.pack(features, labels, row_id, label, fold, buckets)
+    packed, _, _ = parts.pack(features, labels, row_id, label, fold, buckets)
     rows, terms = parts.rows_of(packed), parts.terms_of(packed)
     links = terms.select("part", "first", F.posexplode(F.arrays_zip("terms", "size")).alias("k", "x")).select(
         F.col("part").alias("of"), F.col("x.terms").alias("term"), F.greatest(F.col("first") + F.col("k"), F.lit(-1)).alias("place"),

@@ -38,3 +38,21 @@ def test_margins_of_repeated_ids_and_null_labels(spark):
     got = {r["term"]: r["g0"] for r in linear.gradients(data, state, [linear.Task("l2", 1.0)], ["v0"]).collect()}
     p = 1 / (1 + math.exp(-1.5))
     assert got["b"] is None and abs(got["a"] - (2 * p - 1)) < 1e-12 and abs(got[""] - (2 * p - 1)) < 1e-12
+
+
+def test_a_part_is_bounded_by_its_entries(spark, monkeypatch):
+    """Long rows make more parts, and blocks follow the number of terms; sums stay those of one part."""
+    from lexmill.operators import parts
+
+    f = spark.createDataFrame([(i, f"t{(i * 7 + k) % 90}", 1.0 + k % 3) for i in range(40) for k in range(50)],
+                              "id long, term string, weight double")
+    y = spark.createDataFrame([(i, i % 2) for i in range(40)], "id long, label int")
+    whole = {r["term"]: r["d"] for r in linear.design(f, y, buckets=1).curvature.collect()}
+    monkeypatch.setattr(parts, "PART_ENTRIES", 100)
+    monkeypatch.setattr(parts, "BLOCK_TERMS", 10)
+    packed, n, blocks = parts.pack(f, y, "id", "label", None, 1)
+    assert n == 20 and 8 <= blocks <= 10 and parts.rows_of(packed).count() == 40
+    most = parts.rows_of(packed).groupBy("part").agg({"at": "count"}).agg({"count(at)": "max"}).first()[0]
+    assert most <= 8
+    again = {r["term"]: r["d"] for r in linear.design(f, y, buckets=1).curvature.collect()}
+    assert again.keys() == whole.keys() and all(abs(again[t] - d) < 1e-9 * d for t, d in whole.items())
